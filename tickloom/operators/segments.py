@@ -49,8 +49,9 @@ def before(keys: Sequence[str]) -> WindowSpec:
 
 
 def after(keys: Sequence[str]) -> WindowSpec:
-    """All later segments of the key, nearest first in the frame."""
-    return W.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(1, W.unboundedFollowing)
+    """All later segments of the key. The order runs backwards because a frame that
+    grows is linear while one that shrinks is recomputed for each row."""
+    return W.partitionBy(*keys).orderBy(F.col(SEGMENT).desc()).rowsBetween(W.unboundedPreceding, -1)
 
 
 def inside(keys: Sequence[str], *order) -> WindowSpec:

@@ -67,8 +67,8 @@ def insert(intervals: DataFrame, more: DataFrame, clear_existing: bool = False)
     """Append (later than all present rows) or replace."""
     if clear_existing:
         return more.select(*INTERVAL_COLUMNS)
-    start = intervals.agg((F.coalesce(F.max("seq"), F.lit(-1)) + 1).alias("_base"))
-    shifted = more.crossJoin(F.broadcast(start)).withColumn("seq", F.col("seq") + F.col("_base"))
+    last = intervals.agg(F.max("seq")).first()[0]
+    shifted = more.withColumn("seq", F.col("seq") + F.lit(0 if last is None else last + 1))
     return intervals.select(*INTERVAL_COLUMNS).unionByName(shifted.select(*INTERVAL_COLUMNS))
 
 
