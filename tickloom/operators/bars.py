@@ -66,9 +66,9 @@ def sample_quotes(df: DataFrame, width: str | int, keys: Sequence[str] = KEYS, t
     carry = sg.carry_in(cut, keys, {"_next": F.min("bucket")},
                         {"_next": lambda c: F.min(c).over(sg.after(keys))})
     following = F.coalesce(F.lead("bucket").over(sg.inside(keys, "bucket")), F.col("_next"))
-    runs = sg.join_carry(cut, carry, keys).select(
-        *keys, *values,
-        F.explode(F.sequence("bucket", F.coalesce(following - step, F.col("bucket")), F.lit(step))).alias(ts))
+    until = F.coalesce(F.col("_following") - step, F.col("bucket"))
+    runs = sg.join_carry(cut, carry, keys).withColumn("_following", following).select(
+        *keys, *values, F.explode(F.sequence("bucket", until, F.lit(step))).alias(ts))
     return runs.select(ts, *keys, *values)
 
 

@@ -198,8 +198,10 @@ def rename_keys(info: Column) -> Column:
 def info_keys(df: DataFrame, columns: Sequence[str] = INFO_COLUMNS) -> dict[str, list[str]]:
     """Field names present per info column (a distinct over map keys; names are a
     short fixed vocabulary, their number is checked before they reach the driver)."""
-    entries = F.array(*[F.transform(F.map_keys(c), lambda k, c=c: F.struct(F.lit(c).alias("c"), k.alias("k")))
-                        for c in columns])
+    def named(c: str) -> Column:
+        return F.transform(F.map_keys(c), lambda k: F.struct(F.lit(c).alias("c"), k.alias("k")))
+
+    entries = F.array(*[named(c) for c in columns])
     found = df.select(F.explode(F.flatten(entries)).alias("e")).select("e.*").distinct()
     rows = found.limit(10_001).collect()
     if len(rows) > 10_000:

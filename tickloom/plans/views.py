@@ -57,6 +57,7 @@ def ticks_of(events: DataFrame) -> DataFrame:
         F.col("user_id").alias("instrument_id"),
         F.lit("T").alias("action"),
         F.when(F.pmod(eid, F.lit(2)) == 0, "A").otherwise("B").alias("side"),
+        F.lit(0).alias("depth"),
         px.alias("price"),
         (F.pmod(eid, F.lit(100)) + 1).alias("size"),
         F.pmod(eid * 37, F.lit(256)).cast("int").alias("flags"),
@@ -174,7 +175,7 @@ SQL_VIEWS = {
 
 
 def sql(views: str, body: str) -> str:
-    """``body`` with the named views in front of it as common table expressions."""
-    names = views.split()
-    head = ", ".join(f"{n} AS ({SQL_VIEWS[n]})" for n in names)
-    return f"WITH {head}\n{body}" if head else body
+    """``body`` behind the named views as common table expressions. A body that starts
+    with a comma adds more of them."""
+    head = ", ".join(f"{n} AS ({SQL_VIEWS[n]})" for n in views.split())
+    return f"WITH {head}\n{body}"

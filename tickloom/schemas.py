@@ -14,6 +14,19 @@ from pyspark.sql import types as T
 from tickloom.functions.domains import SCHEMA, member
 
 
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(),
+    "boolean": T.BooleanType(), "decimal(20,0)": T.DecimalType(20, 0),
+    "map<string,string>": T.MapType(T.StringType(), T.StringType()),
+}
+
+
+def struct(text: str) -> T.StructType:
+    """``name type, name type`` to a schema, also where no session is running yet."""
+    pairs = (part.split() for part in text.replace("\n", " ").split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 @dataclass(frozen=True)
 class Layout:
     name: str
@@ -59,8 +72,8 @@ def _levels(count: int) -> str:
 
 def _book(name: str, count: int, rtype: int | None = None) -> Layout:
     prices = ("price", *(f"{p}_{i:02d}" for i in range(count) for p in ("bid_px", "ask_px")))
-    struct = T.StructType.fromDDL(_MBP + _levels(count))
-    return Layout(name, struct, prices, ("ts_recv", "ts_event"), ("action", "side"), count, rtype)
+    columns = struct(_MBP + _levels(count))
+    return Layout(name, columns, prices, ("ts_recv", "ts_event"), ("action", "side"), count, rtype)
 
 
 _REGISTRY: dict[str, Layout] = {}
@@ -71,14 +84,14 @@ def register(layout: Layout) -> Layout:
     return layout
 
 
-register(Layout("mbo", T.StructType.fromDDL(_MBO), ("price",), ("ts_recv", "ts_event"),
+register(Layout("mbo", struct(_MBO), ("price",), ("ts_recv", "ts_event"),
                 ("action", "side"), 0, 160))
 register(_book("mbp-1", 1, 1))
 register(_book("mbp-10", 10))
 register(_book("tbbo", 1))
 register(_book("trades", 0))
 for _width in ("1s", "1m", "1h", "1d", "eod"):
-    register(Layout(f"ohlcv-{_width}", T.StructType.fromDDL(_BAR), ("open", "high", "low", "close"),
+    register(Layout(f"ohlcv-{_width}", struct(_BAR), ("open", "high", "low", "close"),
                     ("ts_event",)))
 
 

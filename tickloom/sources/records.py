@@ -128,6 +128,16 @@ def read_damaged(spark: SparkSession, path, layout: Layout, fmt: str = "json") -
     return records, bad.select(CORRUPT, F.struct(*base.fieldNames()).alias("parsed"))
 
 
+def parse_lines(lines: DataFrame, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    """JSON-lines text (column ``value``) to good records and the damaged lines."""
+    schema = T.StructType([*json_schema(layout).fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = lines.select("value", F.from_json(
+        "value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("j"))
+    good = parsed.where(F.col(f"j.{CORRUPT}").isNull()).select("j.*")
+    bad = parsed.where(F.col(f"j.{CORRUPT}").isNotNull()).select(F.col("value").alias(CORRUPT))
+    return flat_json(good, layout), bad
+
+
 def of_type(df: DataFrame, layout: Layout, rtype: int | None = None) -> DataFrame:
     """Records of one type out of a mixed run, with that layout's columns."""
     code = layout.rtype if rtype is None else rtype

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tickloom.operators import formatting
+from tickloom.schemas import struct
 
 # Column names and types of the three reference tables, in file order.
 ADJUSTMENT_FACTORS = """
@@ -79,7 +80,7 @@ DATE_COLUMNS = {
 
 def schema_of(kind: str) -> T.StructType:
     """Stored schema; dates and times are text until converted."""
-    return T.StructType.fromDDL(TABLES[kind].strip())
+    return struct(TABLES[kind].strip())
 
 
 def read_reference(spark: SparkSession, path, kind: str) -> DataFrame:
