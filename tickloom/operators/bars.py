@@ -75,22 +75,24 @@ def sample_quotes(df: DataFrame, width: str | int, keys: Sequence[str] = KEYS, t
 def profile(df: DataFrame, levels: Sequence[str], extra_keys: Sequence[str] = ()) -> DataFrame:
     """Count, volume, value-weighted price and price range, rolled up over ``levels``.
 
-    Rows are aggregated to the finest level before the rollup expands them, so the
-    expansion works on groups, not records.
+    Each coarser level is aggregated from the next finer one, and the shuffled finer
+    level is reused, so records are read and shuffled once.
     """
     value = F.col("price").cast("decimal(19,0)") * F.col("size").cast("decimal(12,0)")
-    fine = (
+    level = (
         df.where(F.col("price") != prices.UNDEF_PRICE)
-        .groupBy(*levels, *extra_keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_v"), F.sum(value).cast("decimal(38,0)").alias("_pv"),
-             F.min("price").alias("_lo"), F.max("price").alias("_hi"))
-    )
-    every = [*extra_keys, *levels]
-    sets = [[*extra_keys, *levels[:i]] for i in range(len(levels), -1, -1)]
-    return (
-        fine.groupingSets([[F.col(c) for c in s] for s in sets], *every)
-        .agg(F.sum("_n").alias("trades"), F.sum("_v").alias("volume"), F.sum("_pv").alias("_pv"),
-             F.min("_lo").alias("low"), F.max("_hi").alias("high"))
-        .select(*every, "trades", "volume", F.call_function("div", F.col("_pv"), F.col("volume")).alias("vwap"),
-                "low", "high")
+        .groupBy(*extra_keys, *levels)
+        .agg(F.count(F.lit(1)).alias("trades"), F.sum("size").alias("volume"),
+             F.sum(value).cast("decimal(38,0)").alias("_pv"), F.min("price").alias("low"), F.max("price").alias("high"))
     )
+    shown = level
+    kinds = dict(level.dtypes)
+    for depth in range(len(levels) - 1, -1, -1):
+        level = level.groupBy(*extra_keys, *levels[:depth]).agg(
+            F.sum("trades").alias("trades"), F.sum("volume").alias("volume"),
+            F.sum("_pv").cast("decimal(38,0)").alias("_pv"), F.min("low").alias("low"), F.max("high").alias("high"))
+        gone = {c: F.lit(None).cast(kinds[c]) for c in levels[depth:]}
+        shown = shown.unionByName(level.withColumns(gone).select(*shown.columns))
+    return shown.select(
+        *extra_keys, *levels, "trades", "volume",
+        F.call_function("div", F.col("_pv"), F.col("volume")).alias("vwap"), "low", "high")

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.session import shared_dir
+
 BROADCAST_BYTES = 64 << 20
 ROWS_PER_TASK = 10_000_000
 
@@ -36,6 +38,14 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(_row_bytes(df).cast("bigint"))).first()[0] or 0
 
 
+def stored(df: DataFrame, purpose: str = "table") -> DataFrame:
+    """``df`` written once to the shared folder and read back. For a derived table
+    that is measured and then joined, so it is not computed twice."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
 
@@ -94,7 +104,10 @@ def lookup_join(
     """Join ``left`` to the smaller ``right`` on equal keys and ``condition``.
 
     ``condition`` receives the two alias names. Key columns come from the left.
+    A stream cannot be counted ahead, so on one the larger case is a plain shuffle.
     """
     if fits_broadcast(right, broadcast_bytes):
         return _join(left, F.broadcast(right), list(keys), condition, how)
+    if left.isStreaming:
+        return _join(left, right, list(keys), condition, how)
     return salted_join(left, right, keys, condition, how, rows_per_task)

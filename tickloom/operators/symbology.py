@@ -14,9 +14,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.functions import times
-from tickloom.operators.joins import lookup_join
+from tickloom.operators.joins import lookup_join, stored
 from tickloom.schemas import index_column
 
+INTERVALS_PER_PROBE = 32
+SHORT_DAYS = 90
 INTERVAL_COLUMNS = ("instrument_id", "start_date", "end_date", "symbol", "seq")
 
 
@@ -39,23 +41,47 @@ def normal_intervals(intervals: DataFrame) -> DataFrame:
     )
 
 
+def _between(left: str, right: str) -> Column:
+    return (F.col(f"{left}._day") >= F.col(f"{right}._from")) & (F.col(f"{left}._day") < F.col(f"{right}._to"))
+
+
+def _quarter(day: Column) -> Column:
+    return (F.year(day) * 4 + F.quarter(day)).cast("int")
+
+
 def resolve(df: DataFrame, intervals: DataFrame, date: Column | str, id_column: str = "instrument_id",
-            symbol_column: str = "symbol", normalised: bool = False, **options) -> DataFrame:
+            symbol_column: str = "symbol", normalised: bool = False, split: bool | None = None,
+            **options) -> DataFrame:
     """``df`` with the symbol of each row as its last column; NULL where unresolved.
 
     The interval table is broadcast only after its size is measured; beyond that
     the join is shuffled and hot instruments are salted.
+
+    A row meets every interval of its instrument, so where some instrument has many
+    (``split``, by default counted) the short ones are joined by instrument and
+    quarter and only the few long ones by instrument alone. Intervals are disjoint,
+    hence at most one of the two joins finds a symbol.
     """
     table = intervals if normalised else normal_intervals(intervals)
     table = table.select(F.col("instrument_id").alias(id_column), F.col("start_date").alias("_from"),
                          F.col("end_date").alias("_to"), F.col("symbol").alias(symbol_column))
     day = F.col(date) if isinstance(date, str) else date
     left = df.drop(symbol_column).withColumn("_day", day)
-    out = lookup_join(
-        left, table, [id_column],
-        lambda l, r: (F.col(f"{l}._day") >= F.col(f"{r}._from")) & (F.col(f"{l}._day") < F.col(f"{r}._to")),
-        "left", **options)
-    return out.drop("_day", "_from", "_to")
+    if split is None:
+        most = table.groupBy(id_column).count().agg(F.max("count")).first()[0]
+        split = (most or 0) > INTERVALS_PER_PROBE
+    if not split:
+        out = lookup_join(left, table, [id_column], _between, "left", **options)
+        return out.drop("_day", "_from", "_to")
+    short = F.datediff("_to", "_from") < SHORT_DAYS
+    by_quarter = table.where(short).select("*", F.explode(F.sequence(
+        _quarter(F.col("_from")), _quarter(F.date_sub("_to", 1)))).alias("_q"))
+    found = lookup_join(left.withColumn("_q", _quarter(F.col("_day"))), by_quarter, [id_column, "_q"],
+                        _between, "left", **options).drop("_q", "_from", "_to")
+    found = found.withColumnRenamed(symbol_column, "_short")
+    out = lookup_join(found, table.where(~short), [id_column], _between, "left", **options)
+    keep = [c for c in df.columns if c != symbol_column]
+    return out.select(*keep, F.coalesce("_short", symbol_column).alias(symbol_column))
 
 
 def add_symbol(df: DataFrame, intervals: DataFrame, **options) -> DataFrame:
@@ -63,6 +89,12 @@ def add_symbol(df: DataFrame, intervals: DataFrame, **options) -> DataFrame:
     return resolve(df, intervals, times.utc_date(F.col(index_column(df.columns))), **options)
 
 
+def save(intervals: DataFrame) -> DataFrame:
+    """Disjoint intervals written once to the shared folder, to be passed on with
+    ``normalised=True``."""
+    return stored(normal_intervals(intervals), "intervals")
+
+
 def insert(intervals: DataFrame, more: DataFrame, clear_existing: bool = False) -> DataFrame:
     """Append (later than all present rows) or replace."""
     if clear_existing:

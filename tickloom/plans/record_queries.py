@@ -39,7 +39,7 @@ def range_fills_forward(spark, sf):
   CAST(sum(size) AS BIGINT) AS volume FROM ({MAPPED})
   WHERE upper(symbol) IN ('RED WIDGET.1997', 'HOT ROD.1998', 'SMALL RING.1999.X') GROUP BY symbol"""))
 def symbol_selection(spark, sf):
-    out = symbology.add_symbol(views.trades(spark, sf), views.intervals(spark, sf))
+    out = symbology.add_symbol(views.trades(spark, sf), views.saved_intervals(spark, sf), normalised=True)
     out = out.withColumn("upper_symbol", F.upper("symbol"))
     wanted = filters.symbols(out, "red widget.1997, hot rod.1998,small ring.1999.x,", column="upper_symbol")
     return wanted.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("volume"))
@@ -114,7 +114,7 @@ def zone_view(spark, sf):
   THEN i.symbol END AS symbol FROM ticks t ASOF LEFT JOIN intervals i ON t.instrument_id = i.instrument_id
   AND CAST(make_timestamp(ts_recv // 1000) AS DATE) >= i.start_date"""))
 def record_table(spark, sf):
-    out = formatting.table(views.ticks(spark, sf), MBP1, intervals=views.intervals(spark, sf), keep_ns=True)
+    out = formatting.table(views.ticks(spark, sf), MBP1, intervals=views.saved_intervals(spark, sf), normalised=True, keep_ns=True)
     return out.select(F.unix_micros("ts_recv").alias("recv_us"), "ts_recv_ns", "rtype", "instrument_id", "price",
                       "bid_px_00", "symbol")
 
@@ -266,7 +266,7 @@ def info_fields(spark, sf):
   strftime(day - CAST(dayofweek(day) AS INTEGER), '%Y%m%d') AS week, strftime(date_trunc('month', day), '%Y%m%d') AS month,
   CAST(count(*) AS BIGINT) AS n FROM ({MAPPED}) GROUP BY ALL"""))
 def export_splits(spark, sf):
-    t = symbology.add_symbol(views.trades(spark, sf), views.intervals(spark, sf))
+    t = symbology.add_symbol(views.trades(spark, sf), views.saved_intervals(spark, sf), normalised=True)
     ns = F.col("ts_event")
     return t.groupBy(F.coalesce("symbol", F.lit("")).alias("split_symbol"),
                      export.split_key(ns, "week").alias("week"), export.split_key(ns, "month").alias("month")

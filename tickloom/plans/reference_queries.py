@@ -70,9 +70,10 @@ def master_as_of(spark, sf):
 
 @query("back_adjusted", sql("trades factors", """, d AS (SELECT security_id, ex_date, product(factor) AS f FROM (SELECT DISTINCT * FROM factors)
   GROUP BY 1, 2), s AS (SELECT security_id, ex_date, lag(ex_date) OVER (PARTITION BY security_id ORDER BY ex_date) AS prev,
-  product(f) OVER (PARTITION BY security_id ORDER BY ex_date DESC ROWS UNBOUNDED PRECEDING) AS adj FROM d)
-  SELECT publisher_id, instrument_id, sequence, day, size, price, round(coalesce(adj, 1.0), 9) AS adjustment,
-  round(price / 1e9 * coalesce(adj, 1.0), 3) AS adjusted_price
+  list_reduce(list(f) OVER (PARTITION BY security_id ORDER BY ex_date DESC ROWS UNBOUNDED PRECEDING),
+    lambda a, b: a * b) AS adj FROM d)
+  SELECT publisher_id, instrument_id, sequence, day, size, price, coalesce(adj, 1.0) AS adjustment,
+  price / 1e9 * coalesce(adj, 1.0) AS adjusted_price
   FROM trades LEFT JOIN s ON security_id = publisher_id AND day < ex_date AND (prev IS NULL OR day >= prev)"""))
 def back_adjusted(spark, sf):
     t = views.trades(spark, sf).select(
@@ -80,8 +81,7 @@ def back_adjusted(spark, sf):
     f = views.factors(spark, sf)
     out = pointintime.back_adjust(t.withColumn("security_id", F.col("publisher_id").cast("bigint")), f, "day")
     return out.select("publisher_id", "instrument_id", "sequence", "day", "size", "price",
-                      F.round("adjustment", 9).alias("adjustment"),
-                      F.round(F.col("price") / 1e9 * F.col("adjustment"), 3).alias("adjusted_price"))
+                      "adjustment", (F.col("price") / 1e9 * F.col("adjustment")).alias("adjusted_price"))
 
 
 @query("reference_filters", sql("actions", """SELECT event_unique_id, version, event FROM actions

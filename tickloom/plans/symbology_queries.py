@@ -32,7 +32,7 @@ def _wanted(spark, sf):
   FROM ({MAPPED})"""))
 def symbol_map(spark, sf):
     t = views.trades(spark, sf)
-    out = symbology.add_symbol(t, views.intervals(spark, sf))
+    out = symbology.add_symbol(t, views.saved_intervals(spark, sf), normalised=True)
     return out.select("instrument_id", "sequence", times.utc_date(F.col("ts_event")).alias("day"),
                       (F.col("price") / 1e9).alias("price"), "size", "symbol")
 
@@ -42,7 +42,7 @@ def symbol_map(spark, sf):
 def distinct_pairs(spark, sf):
     pairs = views.trades(spark, sf).select(
         "instrument_id", times.utc_date(F.col("ts_event")).alias("day")).distinct()
-    return symbology.resolve(pairs, views.intervals(spark, sf), "day").select("instrument_id", "day", "symbol")
+    return symbology.resolve(pairs, views.saved_intervals(spark, sf), "day", normalised=True).select("instrument_id", "day", "symbol")
 
 
 @query("normal_intervals", sql("intervals", f""", {NORMAL} SELECT * FROM normal"""))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import times
 from tickloom.functions.prices import UNDEF_PRICE
+from tickloom.operators import symbology
 from tickloom.session import configure
 
 # Record types the tick view uses, by event type.
@@ -100,6 +101,11 @@ def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("v.s").alias("symbol"), F.col("v.q").alias("seq"))
 
 
+def saved_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The intervals made disjoint and stored, as a symbology table would be."""
+    return symbology.save(intervals(spark, sf_dir))
+
+
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of one corporate event per customer."""
     o = table(spark, sf_dir, "orders")
