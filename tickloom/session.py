@@ -30,6 +30,9 @@ def local_session(cores: str = "*", name: str = "tickloom", shuffle_partitions:
     return configure(spark)
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
@@ -40,6 +43,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _local_roots.setdefault(app, "") or tempfile.mkdtemp(prefix="tickloom-")
+        _local_roots[app] = root
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

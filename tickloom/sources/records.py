@@ -114,18 +114,19 @@ def flat_json(df: DataFrame, layout: Layout, strict: bool = False) -> DataFrame:
 
 
 def read_damaged(spark: SparkSession, path, layout: Layout, fmt: str = "json") -> tuple[DataFrame, DataFrame]:
-    """Good records and the damaged rest, as two frames."""
-    base = json_schema(layout) if fmt == "json" else layout.struct
-    schema = T.StructType([*base.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    df = _load(reader, fmt, path, layout.name)
-    good = df.where(F.col(CORRUPT).isNull())
-    # all data columns stay referenced: Spark does not answer on the corrupt column alone
-    bad = df.where(F.col(CORRUPT).isNotNull())
-    records = flat_json(good, layout) if fmt == "json" else good.select(*layout.columns)
-    return records, bad.select(CORRUPT, F.struct(*base.fieldNames()).alias("parsed"))
+    """Good records and the damaged lines, as two frames. Lines are read as text, so
+    either frame can be counted on its own."""
+    if fmt == "json":
+        return parse_lines(_load(spark.read, "text", path, layout.name), layout)
+    if fmt != "csv":
+        raise ValueError("fmt must be json or csv")
+    lines = _load(spark.read, "text", path, layout.name).where(F.col("value") != ",".join(layout.columns))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in layout.struct.fields)
+    parsed = lines.select("value", F.from_csv(
+        "value", f"{schema}, {CORRUPT} string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("j"))
+    good = parsed.where(F.col(f"j.{CORRUPT}").isNull()).select(*[f"j.{c}" for c in layout.columns])
+    return good, parsed.where(F.col(f"j.{CORRUPT}").isNotNull()).select(F.col("value").alias(CORRUPT))
 
 
 def parse_lines(lines: DataFrame, layout: Layout) -> tuple[DataFrame, DataFrame]:
