@@ -165,8 +165,9 @@ def test_lag_flag(spark):
 def test_reconnect_gap_of_an_empty_session(spark):
     log = spark.createDataFrame([("d", 10 * S, 15 * S), ("d", 20 * S, None), ("d", 26 * S, 30 * S)],
                                 "dataset string, session_start bigint, last_ts bigint")
-    got = [(r["gap_start"] // S, r["gap_end"] // S, r["gap_seconds"]) for r in quality.reconnect_gaps(log).orderBy("gap_end").collect()]
-    assert got == [(15, 20, 5.0), (20, 26, 6.0)]
+    for target in (None, 1):
+        gaps = quality.reconnect_gaps(log, rows_per_segment=target).orderBy("gap_end").collect()
+        assert [(r["gap_start"] // S, r["gap_end"] // S, r["gap_seconds"]) for r in gaps] == [(15, 20, 5.0), (20, 26, 6.0)]
 
 
 def test_replay_in_order_and_errors(case):

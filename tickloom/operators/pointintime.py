@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickloom.functions import times
+from tickloom.operators import segments as sg
 from tickloom.operators.joins import lookup_join
 
 _LAST = "9999-12-31 00:00:00"
@@ -58,28 +60,43 @@ def last_master(df: DataFrame, key: str = "listing_id") -> DataFrame:
         F.col("ts_effective").asc_nulls_last(), F.col(key).asc())
 
 
+def _moment(df: DataFrame, column: str) -> Column:
+    """A date, timestamp or nanosecond column as nanoseconds."""
+    kind = dict(df.dtypes)[column]
+    if kind == "date":
+        return times.date_to_ns(F.col(column))
+    return times.from_timestamp(F.col(column)) if kind.startswith("timestamp") else F.col(column).cast("bigint")
+
+
 def master_intervals(master: DataFrame, key: str, columns: Sequence[str],
-                     effective: str = "ts_effective", recorded: str = "ts_record") -> DataFrame:
+                     effective: str = "ts_effective", recorded: str = "ts_record",
+                     rows_per_segment: int | None = None) -> DataFrame:
     """Which master record is in force, as disjoint ``[_from, _to)`` per key.
 
     A record can be used once it is both effective and recorded; of the usable ones
     the latest effective (then recorded) wins. Versions sharing a start collapse
-    first, map-side.
+    first, map-side; a key with very many versions is cut into time segments.
     """
     value = F.struct(F.col(effective).alias("e"), F.col(recorded).alias("r"), *[F.col(c) for c in columns])
-    start = F.greatest(effective, recorded)
     one = master.where(F.col(effective).isNotNull() & F.col(recorded).isNotNull()).groupBy(
-        key, start.alias("_from")).agg(F.max(value).alias("v"))
-    order = W.partitionBy(key).orderBy("_from")
-    best = F.max("v").over(order.rowsBetween(W.unboundedPreceding, 0))
-    return one.select(key, "_from", F.lead("_from").over(order).alias("_to"), best.alias("v")).select(
-        key, "_from", "_to", *[F.col(f"v.{c}").alias(c) for c in columns])
+        key, F.greatest(effective, recorded).alias("_from")).agg(F.max(value).alias("v"))
+    one = one.withColumn("_at", _moment(one, "_from"))
+    cut = sg.with_segment(one, "_at", sg.pick_width(one, [key], "_at", rows_per_segment=rows_per_segment))
+    carry = sg.carry_in(
+        cut, [key], {"_best": F.max("v"), "_next": F.min("_from")},
+        {"_best": lambda c: F.max(c).over(sg.before([key])), "_next": lambda c: F.min(c).over(sg.after([key]))})
+    here = sg.inside([key], "_at")
+    local = cut.withColumn("_lead", F.lead("_from").over(here)).withColumn(
+        "v", F.max("v").over(here.rowsBetween(W.unboundedPreceding, 0)))
+    best = sg.join_carry(local, carry, [key]).select(
+        key, "_from", F.coalesce("_lead", "_next").alias("_to"), F.greatest("v", "_best").alias("v"))
+    return best.select(key, "_from", "_to", *[F.col(f"v.{c}").alias(c) for c in columns])
 
 
 def master_as_of(df: DataFrame, master: DataFrame, key: str, ts: str, columns: Sequence[str],
-                 effective: str = "ts_effective", recorded: str = "ts_record", **options) -> DataFrame:
+                 effective: str = "ts_effective", recorded: str = "ts_record", rows_per_segment: int | None = None, **options) -> DataFrame:
     """``df`` with the master columns in force at ``ts``; no look-ahead."""
-    spans = master_intervals(master, key, columns, effective, recorded)
+    spans = master_intervals(master, key, columns, effective, recorded, rows_per_segment)
     out = lookup_join(
         df, spans, [key],
         lambda l, r: (F.col(f"{l}.{ts}") >= F.col(f"{r}._from"))

@@ -88,16 +88,18 @@ def sessions(records: DataFrame, starts: DataFrame, dataset: str = "dataset", se
 
 
 def reconnect_gaps(log: DataFrame, dataset: str = "dataset", start: str = "session_start",
-                   last: str = "last_ts") -> DataFrame:
+                   last: str = "last_ts", rows_per_segment: int | None = None,
+                   width: int | None = None) -> DataFrame:
     """Gap between a session's last record (its start when it had none) and the next
-    session's start. ``log`` has one row per session, so its window is short."""
-    order = W.partitionBy(dataset).orderBy(start)
-    begin = F.lag(F.coalesce(last, start)).over(order)
-    return (
-        log.withColumn("gap_start", begin).where(F.col("gap_start").isNotNull())
-        .select(dataset, "gap_start", F.col(start).alias("gap_end"),
-                ((F.col(start) - F.col("gap_start")) / F.lit(float(times.SECOND))).alias("gap_seconds"))
-    )
+    session's start. ``log`` has one row per session."""
+    cut = _cut(log.withColumn("_end", F.coalesce(last, start)), [dataset], start, rows_per_segment, width)
+    carry = sg.carry_in(cut, [dataset], {"_prev": F.max_by("_end", start)},
+                        {"_prev": lambda c: F.last(c).over(sg.before([dataset]))})
+    seen = cut.withColumn("_in", F.lag("_end").over(sg.inside([dataset], start)))
+    out = sg.join_carry(seen, carry, [dataset]).withColumn("gap_start", F.coalesce("_in", "_prev"))
+    return out.where(F.col("gap_start").isNotNull()).select(
+        dataset, "gap_start", F.col(start).alias("gap_end"),
+        ((F.col(start) - F.col("gap_start")) / F.lit(float(times.SECOND))).alias("gap_seconds"))
 
 
 def lag_flag(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts_recv") -> DataFrame:

@@ -109,12 +109,12 @@ def inserted_intervals(spark, sf):
 
 
 def _mappings(spark, sf, start, end, out):
-    """Intervals grouped to one response document per symbol and its year."""
+    """Intervals grouped to one document per symbol and instrument. A list holds at
+    most one entry per day."""
     i = views.intervals(spark, sf)
     entry = F.struct(F.col("start_date").cast("string").alias(start), F.col("end_date").cast("string").alias(end),
                      F.col("instrument_id").cast("string").alias(out))
-    # a document lists the instruments of one symbol of one year
-    return i.groupBy("symbol").agg(F.sort_array(F.collect_list(entry)).alias("list")).select(
+    return i.groupBy("symbol", "instrument_id").agg(F.sort_array(F.collect_list(entry)).alias("list")).select(
         F.create_map("symbol", "list").alias("m"), F.lit("raw_symbol").alias("stype_in"),
         F.lit("instrument_id").alias("stype_out"))
 

@@ -62,17 +62,14 @@ def semantic_text(spark, sf):
     return e.select("event_id", tx.is_semantic(text).alias("meaningful"))
 
 
-@query("symbol_chunks", """SELECT l_orderkey, CAST(i // 2 AS INTEGER) AS chunk, string_agg(s, ',' ORDER BY i) AS items,
-  max(i) = max(m) AS is_last FROM (SELECT l_orderkey, s, row_number() OVER (PARTITION BY l_orderkey ORDER BY s) - 1 AS i,
-  count(*) OVER (PARTITION BY l_orderkey) - 1 AS m FROM (SELECT DISTINCT l_orderkey, lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS s
-  FROM lineitem)) GROUP BY 1, 2""")
+@query("symbol_chunks", """SELECT p_partkey, CAST(chunk AS INTEGER) AS chunk, items, chunk = 1 AS is_last FROM (
+  SELECT p_partkey, 0 AS chunk, upper(p_name) || ',' || upper(p_brand) || ',' || upper(p_type) AS items FROM part
+  UNION ALL SELECT p_partkey, 1, CAST(p_size AS VARCHAR) FROM part)""")
 def symbol_chunks(spark, sf):
-    t = views.table(spark, sf, "lineitem")
-    # an order has a handful of lines; the set is of one order's instruments
-    per = t.groupBy("l_orderkey").agg(F.sort_array(F.collect_set(
-        F.lpad(F.col("l_partkey").cast("string"), 9, "0"))).alias("symbols"))
-    return per.select("l_orderkey", F.explode(tx.chunks(F.col("symbols"), 2)).alias("c")).select(
-        "l_orderkey", "c.chunk", F.array_join("c.items", ",").alias("items"), "c.is_last")
+    p = views.table(spark, sf, "part")
+    listed = tx.symbol_list(F.concat_ws(",", "p_name", "p_brand", "p_type", F.col("p_size").cast("string")))
+    return p.select("p_partkey", F.explode(tx.chunks(listed, 3)).alias("c")).select(
+        "p_partkey", "c.chunk", F.array_join("c.items", ",").alias("items"), "c.is_last")
 
 
 @query("parsed_times", """SELECT event_id, CASE event_id % 5

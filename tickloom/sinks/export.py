@@ -12,6 +12,7 @@ from tickloom.functions import text as tx
 from tickloom.functions import times
 from tickloom.functions.domains import SPLIT_DURATION, member
 from tickloom.operators import symbology
+from tickloom.operators.filters import first_records
 from tickloom.schemas import Layout, index_column
 from tickloom.sinks import files
 
@@ -67,7 +68,7 @@ def export(
         df = df.where(F.col("symbol").isin(tx.normal_symbols(symbols)))
     index = index_column(df.columns)
     if limit is not None:
-        df = df.orderBy(index).limit(limit)
+        df = first_records(df, limit)
     df = df.withColumn("split", split_key(F.col(index), split_duration))
     parts = ["split"]
     if split_symbols:
