@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import catalog, formatting, pointintime
+from tickloom.plans import requests
 from tickloom.sources import reference, venues
 from tickloom.schemas import layout
 
@@ -132,3 +133,34 @@ def test_conditions_include_both_ends(spark):
     df = spark.createDataFrame([("d", 0, 0), ("d", 2 * day, 4)], "dataset string, ts_recv bigint, flags int")
     got = {str(r["date"]): r["condition"] for r in catalog.dataset_condition(df, "1970-01-01", "1970-01-03").collect()}
     assert got == {"1970-01-01": "available", "1970-01-02": "missing", "1970-01-03": "degraded"}
+
+
+def test_requests(spark, tmp_path):
+    path = lines(tmp_path / "c.jsonl", {**ACTION, "symbol": "A", "listing_country": "US", "exchange": "X", "security_type": "EQS"},
+                 {**ACTION, "symbol": "B", "event_unique_id": "U-2", "listing_country": "GB", "event": "DIV"})
+    df = reference.read_reference(spark, path, "corporate_actions")
+    got = requests.corporate_actions(df, "2023-10-10", symbols="a,b", events="RSPLT,DIV", countries=["US"])
+    assert got.columns[0] == "event_date" and [r["symbol"] for r in got.collect()] == ["A"]
+    assert requests.corporate_actions(df, "2023-10-10", pit=True, flatten=False).count() == 2
+    assert requests.corporate_actions(df, "2023-10-09", "2023-10-10").count() == 0
+    master = reference.read_reference(spark, lines(tmp_path / "m.jsonl", {
+        "listing_id": "L", "ts_record": "2024-08-07T23:00:00Z", "ts_effective": "2024-08-07T00:00:00Z", "symbol": "A",
+        "listing_country": "US"}), "security_master")
+    assert requests.security_master(master, "2024-08-07", "2024-08-08", countries="US,GB").count() == 1
+    assert requests.security_master(master, "2024-08-07T00:00:01").count() == 0
+    assert requests.last_security_master(master, "A").count() == 1 and requests.last_security_master(master, "Z").count() == 0
+
+
+def test_time_series_request(spark):
+    day = 86_400 * 10**9
+    df = spark.range(40).select((F.col("id") * (day // 4)).alias("ts_recv"), (F.col("id") % 2).alias("instrument_id"),
+                                F.lit(1).alias("publisher_id"), F.col("id").alias("sequence"))
+    table = spark.sql("select 0L instrument_id, date'1970-01-02' start_date, date'1970-01-04' end_date, 'A' symbol, 0L seq "
+                      "union all select 1L, date'1970-01-03', date'1970-01-09', 'A', 1L")
+    got = requests.time_series(df, "1970-01-01", "1970-01-06", "a", intervals=table).collect()
+    assert [r["sequence"] for r in got] == [4, 6, 8, 9, 10, 11, 13, 15, 17, 19]
+    assert requests.time_series(df, "1970-01-03", symbols=[1], stype_in="instrument_id").count() == 2
+    assert [r["sequence"] for r in requests.time_series(df, 0, 10 * day, limit=3).collect()] == [0, 1, 2]
+    assert requests.record_count(df, start=0, end=10 * day, limit=7).first()[0] == 7
+    with pytest.raises(ValueError):
+        requests.time_series(df, 0, 1, "A")

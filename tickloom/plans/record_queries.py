@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 from tickloom.functions import flags as fl
 from tickloom.functions import prices, times
 from tickloom.operators import filters, formatting, ordering, symbology
-from tickloom.plans import views
+from tickloom.plans import requests, views
 from tickloom.plans.registry import query
 from tickloom.plans.views import sql
 from tickloom.schemas import layout
+from tickloom.session import shared_dir
 from tickloom.sinks import export, files
 from tickloom.sources import records
 
@@ -280,3 +281,44 @@ def subscription_union(spark, sf):
     return filters.subscription_union(
         t, [("purchase", None, "instrument_id"), ("click", [1, "2,3"], "instrument_id"), ("purchase", [1], "instrument_id")]
     ).select("sequence", "instrument_id", "event_type")
+
+
+@query("range_request", sql("trades intervals", f"""SELECT ts_event, instrument_id, sequence, size, symbol FROM ({MAPPED})
+  WHERE day >= DATE '1997-01-01' AND day < DATE '1998-01-01'
+  AND symbol IN (SELECT p_name || '.1997' FROM part WHERE p_name IN ('red widget', 'hot rod', 'small ring'))"""))
+def range_request(spark, sf):
+    """One whole request: range, symbols that are valid on the day, time order."""
+    named = views.saved_intervals(spark, sf).withColumn("symbol", F.upper("symbol"))
+    out = requests.time_series(views.trades(spark, sf), "1997", symbols="red widget.1997,hot rod.1997,small ring.1997",
+                               intervals=named, normalised=True)
+    return out.select("ts_event", "instrument_id", "sequence", "size", F.lower("symbol").alias("symbol"))
+
+
+@query("stored_table", sql("ticks", """SELECT CAST(ts_recv // 1000 AS BIGINT) AS recv_us, instrument_id, sequence,
+  CAST(CASE WHEN price <> 9223372036854775807 THEN price * 0.000000001::DECIMAL(9,9) END AS DECIMAL(28,9)) AS price FROM ticks"""))
+def stored_table(spark, sf):
+    """Records stored, scanned, formatted, written as Parquet and read back."""
+    raw, out = shared_dir(spark, "records"), shared_dir(spark, "table")
+    views.ticks(spark, sf).select(*MBP1.columns).write.parquet(raw)
+    scan = records.read_records(spark, raw, MBP1)
+    files.write_parquet(scan, out, price_type="decimal", layout=MBP1)
+    back = spark.read.parquet(out)
+    return back.select(F.unix_micros("ts_recv").alias("recv_us"), "instrument_id", "sequence", "price")
+
+
+def _steps(frames):
+    """Time since the key's previous record, from rows that arrive in key and time order."""
+    last: dict[int, int] = {}
+    for pdf in frames:
+        steps = []
+        for key, t in zip(pdf["instrument_id"], pdf["ts_recv"]):
+            steps.append(t - last.get(key, t))
+            last = {key: t}
+        yield pdf[["sequence"]].assign(step=steps)
+
+
+@query("replay_steps", sql("ticks", """SELECT sequence, ts_recv - lag(ts_recv, 1, ts_recv) OVER (PARTITION BY instrument_id
+  ORDER BY ts_recv, publisher_id, sequence) AS step FROM ticks"""))
+def replay_steps(spark, sf):
+    t = views.ticks(spark, sf).select("instrument_id", "ts_recv", "publisher_id", "sequence")
+    return ordering.replay_by_key(t, _steps, "sequence bigint, step bigint")

@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import times
 from tickloom.operators import filters, formatting, pointintime
-from tickloom.plans import views
+from tickloom.plans import requests, views
 from tickloom.plans.registry import query
 from tickloom.plans.views import sql
+from tickloom.session import shared_dir
+from tickloom.sources import reference
 
 _LAST = ", ".join(f"arg_max({c}, row(ts_record, version)) FILTER (WHERE {c} IS NOT NULL) AS {c}"
                   for c in ("event", "global_status", "par_value", "event_date"))
@@ -111,3 +113,18 @@ def reference_dates(spark, sf):
                     .alias("ts_record"))
     out = formatting.datetimes(formatting.dates(text, ["ex_date", "absent_date"]), ["ts_record"])
     return out.select("o_orderkey", "ex_date", F.unix_micros("ts_record").alias("record_us"))
+
+
+@query("reference_lines", """SELECT o_custkey AS security_id, lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS us_code,
+  CAST(o_orderdate AS DATE) AS ex_date, o_totalprice AS close FROM orders
+  WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'""")
+def reference_lines(spark, sf):
+    """Factors written as JSON lines and requested back; codes keep their zeros."""
+    path = shared_dir(spark, "lines")
+    views.table(spark, sf, "orders").select(F.to_json(F.struct(
+        F.col("o_custkey").alias("security_id"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0").alias("us_code"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("ex_date"), F.col("o_totalprice").alias("close")
+    )).alias("value")).write.option("compression", "gzip").text(path)
+    table = reference.read_reference(spark, path, "adjustment_factors")
+    return requests.adjustment_factors(table, "1996-01-01", "1999-01-01").select(
+        "security_id", "us_code", "ex_date", "close")
