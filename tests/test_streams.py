@@ -126,6 +126,16 @@ def test_callback_errors_are_reported_and_the_stream_goes_on(stream):
     assert seen == [200, 200, 200] and [str(e) for e in errors] == ["second batch"]
 
 
+def test_lagging_batches_are_reported(spark, stream, tmp_path):
+    seen = []
+    sinks.watch_lag(stream(), lambda n, row: seen.append((n, row["records"]))).awaitTermination()
+    assert seen == [(0, 200), (1, 200), (2, 200)]
+    data(spark).limit(100).write.parquet(str(tmp_path / "few"))
+    few = sources.open_stream(spark, str(tmp_path / "few"), data(spark).schema)
+    sinks.watch_lag(few, lambda n, row: seen.append(n)).awaitTermination()
+    assert len(seen) == 3
+
+
 def test_ten_warnings_at_most():
     def fail(_batch, _n):
         raise ValueError("no")

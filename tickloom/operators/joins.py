@@ -66,10 +66,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int | None = Non
 def salted_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str],
     condition: Callable[[str, str], Column] | None = None,
-    how: str = "left", rows_per_task: int | None = None,
+    how: str = "left", rows_per_task: int | None = None, count_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Shuffle join whose hot keys are spread; ``right`` is the smaller side."""
-    hot = hot_keys(left, keys, rows_per_task)
+    """Shuffle join whose hot keys are spread; ``right`` is the smaller side.
+
+    ``count_on`` is a frame with the same keys as ``left`` that is cheaper to count,
+    where ``left`` is itself the result of a join.
+    """
+    hot = stored(hot_keys(left if count_on is None else count_on, keys, rows_per_task), "hot")
     if fits_broadcast(hot):
         hot = F.broadcast(hot)
     spread = F.pmod(F.xxhash64(*left.columns), F.coalesce("_salts", F.lit(1)).cast("bigint")).cast("int")
@@ -100,14 +104,19 @@ def lookup_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str],
     condition: Callable[[str, str], Column] | None = None,
     how: str = "left", broadcast_bytes: int | None = None, rows_per_task: int | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to the smaller ``right`` on equal keys and ``condition``.
 
     ``condition`` receives the two alias names. Key columns come from the left.
     A stream cannot be counted ahead, so on one the larger case is a plain shuffle.
     """
-    if fits_broadcast(right, broadcast_bytes):
+    size = measured_bytes(right)
+    if size == 0 and how == "left":
+        return left.select("*", *[F.lit(None).cast(f.dataType).alias(f.name)
+                                  for f in right.schema.fields if f.name not in keys])
+    if size <= (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
         return _join(left, F.broadcast(right), list(keys), condition, how)
     if left.isStreaming:
         return _join(left, right, list(keys), condition, how)
-    return salted_join(left, right, keys, condition, how, rows_per_task)
+    return salted_join(left, right, keys, condition, how, rows_per_task, count_on)

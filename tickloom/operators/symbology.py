@@ -79,7 +79,7 @@ def resolve(df: DataFrame, intervals: DataFrame, date: Column | str, id_column:
     found = lookup_join(left.withColumn("_q", _quarter(F.col("_day"))), by_quarter, [id_column, "_q"],
                         _between, "left", **options).drop("_q", "_from", "_to")
     found = found.withColumnRenamed(symbol_column, "_short")
-    out = lookup_join(found, table.where(~short), [id_column], _between, "left", **options)
+    out = lookup_join(found, table.where(~short), [id_column], _between, "left", count_on=left, **options)
     keep = [c for c in df.columns if c != symbol_column]
     return out.select(*keep, F.coalesce("_short", symbol_column).alias(symbol_column))
 

@@ -107,19 +107,19 @@ def clock_faults(spark, sf):
     return quality.clock_faults(t, sequence="arrival").select("sequence", "publisher_id", "behind_ns")
 
 
-@query("reconnect_gaps", sql("ticks", """, r AS (SELECT publisher_id AS dataset, ts_event // 86400000000000 AS session_id, max(ts_event) AS last_ts
-  FROM ticks WHERE sequence % 4 <> 0 GROUP BY 1, 2), s AS (SELECT publisher_id AS dataset, ts_event // 86400000000000 AS session_id,
+@query("reconnect_gaps", sql("ticks", """, r AS (SELECT publisher_id AS dataset, ts_event // 3600000000000 AS session_id, max(ts_event) AS last_ts
+  FROM ticks WHERE rtype = 0 GROUP BY 1, 2), s AS (SELECT publisher_id AS dataset, ts_event // 3600000000000 AS session_id,
   min(ts_event) AS session_start FROM ticks GROUP BY 1, 2), g AS (SELECT dataset, session_start AS gap_end,
   lag(coalesce(last_ts, session_start)) OVER (PARTITION BY dataset ORDER BY session_start) AS gap_start
   FROM s LEFT JOIN r USING (dataset, session_id))
   SELECT dataset, gap_start, gap_end, (gap_end - gap_start) / 1e9 AS gap_seconds FROM g WHERE gap_start IS NOT NULL"""))
 def reconnect_gaps(spark, sf):
+    """Hourly sessions; those without a trade count from their start."""
     t = views.ticks(spark, sf).select(
-        F.col("publisher_id").alias("dataset"), times.bucket(F.col("ts_event"), times.DAY).alias("session_id"),
-        "ts_event", "sequence")
+        F.col("publisher_id").alias("dataset"), times.bucket(F.col("ts_event"), times.HOUR).alias("session_id"),
+        "ts_event", "rtype")
     starts = t.groupBy("dataset", "session_id").agg(F.min("ts_event").alias("session_start"))
-    log = quality.sessions(t.where(F.pmod("sequence", F.lit(4)) != 0), starts)
-    return quality.reconnect_gaps(log)
+    return quality.reconnect_gaps(quality.sessions(t.where("rtype = 0"), starts))
 
 
 @query("lag_flags", sql("ticks", """SELECT publisher_id, hour, records, front_ts, back_ts,

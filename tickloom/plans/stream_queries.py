@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import times
 from tickloom.plans import views
-from tickloom.plans.catalog_queries import stored  # noqa: F401 - same dataset names
 from tickloom.plans.market_queries import _bar_sql
 from tickloom.plans.record_queries import CODES
 from tickloom.plans.registry import query
@@ -23,7 +22,8 @@ _MARK = "(SELECT (max(ts_event) // 1000000) * 1000000 - 60000000000 FROM ticks)"
 
 def tick_stream(spark, sf):
     schema = views.table(spark, sf, "events").schema
-    return views.ticks_of(sources.open_stream(spark, sf, schema, name_filter="events.parquet"))
+    # a pattern finds one file as well as a folder of files
+    return views.ticks_of(sources.open_stream(spark, f"{sf}/events.parquet*", schema))
 
 
 @query("stream_subscription", sql("ticks", """SELECT sequence, instrument_id, ts_recv, size FROM ticks

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tickloom.operators import quality
 from tickloom.session import shared_dir
 
 log = logging.getLogger(__name__)
@@ -93,6 +94,21 @@ def to_records(stream: DataFrame, function, checkpoint: str | None = None, once:
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def watch_lag(stream: DataFrame, on_full: Callable | None = None, ts: str = "ts_recv",
+              checkpoint: str | None = None, once: bool = True) -> StreamingQuery:
+    """Report micro-batches that count as full (see ``quality.lag_flag``), one summary
+    row each. Nothing is skipped: a slow reader is warned and catches up."""
+    def look(batch: DataFrame, number: int) -> None:
+        row = quality.lag_flag(batch, ts=ts).first()
+        if row["is_full"]:
+            if on_full is not None:
+                on_full(number, row)
+            else:
+                warnings.warn(f"batch {number} lags: {row['records']} records", stacklevel=2)
+
+    return to_callback(stream.select(ts), look, checkpoint=checkpoint, once=once)
+
+
 def report_gaps(gaps: DataFrame, function: Callable, on_error=None) -> None:
     """``function(gap_start, gap_end)`` for every reconnect gap, one row at a time."""
     for row in gaps.orderBy("gap_start").toLocalIterator():

@@ -14,13 +14,11 @@ from tickloom.schemas import index_column
 
 
 def open_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files: int | None = None, name_filter: str | None = None) -> DataFrame:
+                max_files: int | None = None) -> DataFrame:
     """Files arriving in a folder. ``max_files`` per batch bounds what a slow reader takes on."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if name_filter is not None:
-        reader = reader.option("pathGlobFilter", name_filter)
     return reader.load(path)
 
 
