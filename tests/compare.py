@@ -24,7 +24,7 @@ def database(sf_dir: str):
 
 def _cell(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else float(f"{v:.12g}")
+        return None if math.isnan(v) else v
     if isinstance(v, Decimal):
         return str(v.normalize())
     return v

@@ -180,19 +180,12 @@ def info_map(info: Column, kind: str = "string", depth: int = 2) -> Column:
 
 def rename_keys(info: Column) -> Column:
     """Old field names to new ones; where both are present the new one is kept."""
-    fresh = F.lit(None).cast("string")
-
-    def renamed(k: Column, _v: Column) -> Column:
-        return F.coalesce(F.get(F.map_values(F.map_filter(
-            F.create_map(*[F.lit(x) for kv in INFO_RENAMES.items() for x in kv]), lambda a, _: a == k)),
-            F.lit(0)), fresh, k)
-
-    new_names = F.transform(F.map_keys(F.map_filter(
-        info, lambda k, _: k.isin(list(INFO_RENAMES)))), lambda k: renamed(k, k))
-    twice = F.array_intersect(F.map_keys(info), new_names)
-    kept = F.map_filter(info, lambda k, v: ~(
-        k.isin(list(INFO_RENAMES)) & F.array_contains(twice, renamed(k, v))))
-    return F.transform_keys(kept, renamed)
+    names = F.create_map(*[F.lit(x) for pair in INFO_RENAMES.items() for x in pair])
+    old = F.array_intersect(F.map_keys(info), F.map_keys(names))
+    both = F.array_intersect(F.map_keys(info), F.transform(old, lambda k: F.try_element_at(names, k)))
+    kept = F.map_filter(info, lambda k, _: ~F.coalesce(
+        F.array_contains(both, F.try_element_at(names, k)), F.lit(False)))
+    return F.transform_keys(kept, lambda k, _: F.coalesce(F.try_element_at(names, k), k))
 
 
 def info_keys(df: DataFrame, columns: Sequence[str] = INFO_COLUMNS) -> dict[str, list[str]]:

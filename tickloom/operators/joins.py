@@ -38,6 +38,13 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(_row_bytes(df).cast("bigint"))).first()[0] or 0
 
 
+def measured(df: DataFrame, key: str) -> tuple[int, int]:
+    """Rough size, and the number of rows of the largest key."""
+    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df).cast("bigint")).alias("b"))
+    row = per.agg(F.sum("b"), F.max("n")).first()
+    return row[0] or 0, row[1] or 0
+
+
 def stored(df: DataFrame, purpose: str = "table") -> DataFrame:
     """``df`` written once to the shared folder and read back. For a derived table
     that is measured and then joined, so it is not computed twice."""
@@ -104,14 +111,19 @@ def lookup_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str],
     condition: Callable[[str, str], Column] | None = None,
     how: str = "left", broadcast_bytes: int | None = None, rows_per_task: int | None = None,
-    count_on: DataFrame | None = None,
+    count_on: DataFrame | None = None, derived: bool = False, size: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to the smaller ``right`` on equal keys and ``condition``.
 
     ``condition`` receives the two alias names. Key columns come from the left.
-    A stream cannot be counted ahead, so on one the larger case is a plain shuffle.
+    A ``derived`` right side is stored first, so it is computed once. ``size`` is its
+    size where the caller has measured it. A stream cannot be counted ahead, so on
+    one the larger case is a plain shuffle.
     """
-    size = measured_bytes(right)
+    if derived:
+        right = stored(right)
+    if size is None:
+        size = measured_bytes(right)
     if size == 0 and how == "left":
         return left.select("*", *[F.lit(None).cast(f.dataType).alias(f.name)
                                   for f in right.schema.fields if f.name not in keys])

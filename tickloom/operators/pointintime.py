@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import times
 from tickloom.operators import segments as sg
-from tickloom.operators.joins import lookup_join
+from tickloom.operators.joins import lookup_join, stored
 
 _LAST = "9999-12-31 00:00:00"
 
@@ -80,7 +80,7 @@ def master_intervals(master: DataFrame, key: str, columns: Sequence[str],
     value = F.struct(F.col(effective).alias("e"), F.col(recorded).alias("r"), *[F.col(c) for c in columns])
     one = master.where(F.col(effective).isNotNull() & F.col(recorded).isNotNull()).groupBy(
         key, F.greatest(effective, recorded).alias("_from")).agg(F.max(value).alias("v"))
-    one = one.withColumn("_at", _moment(one, "_from"))
+    one = stored(one.withColumn("_at", _moment(one, "_from")), "versions")
     cut = sg.with_segment(one, "_at", sg.pick_width(one, [key], "_at", rows_per_segment=rows_per_segment))
     carry = sg.carry_in(
         cut, [key], {"_best": F.max("v"), "_next": F.min("_from")},
@@ -101,7 +101,7 @@ def master_as_of(df: DataFrame, master: DataFrame, key: str, ts: str, columns: S
         df, spans, [key],
         lambda l, r: (F.col(f"{l}.{ts}") >= F.col(f"{r}._from"))
         & (F.col(f"{r}._to").isNull() | (F.col(f"{l}.{ts}") < F.col(f"{r}._to"))),
-        "left", **options)
+        "left", derived=True, **options)
     return out.drop("_from", "_to")
 
 
@@ -129,6 +129,6 @@ def back_adjust(df: DataFrame, factors: DataFrame, date: Column | str, price: st
         left, spans, [key],
         lambda l, r: (F.col(f"{l}._day") < F.col(f"{r}._to"))
         & (F.col(f"{r}._from").isNull() | (F.col(f"{l}._day") >= F.col(f"{r}._from"))),
-        "left", **options)
+        "left", derived=True, **options)
     factor = F.coalesce("adjustment", F.lit(1.0))
     return out.select(*df.columns, factor.alias("adjustment"), (F.col(price) * factor).alias("adjusted_price"))

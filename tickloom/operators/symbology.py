@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.functions import times
-from tickloom.operators.joins import lookup_join, stored
+from tickloom.operators.joins import lookup_join, measured, stored
 from tickloom.schemas import index_column
 
 INTERVALS_PER_PROBE = 32
@@ -62,16 +62,17 @@ def resolve(df: DataFrame, intervals: DataFrame, date: Column | str, id_column:
     quarter and only the few long ones by instrument alone. Intervals are disjoint,
     hence at most one of the two joins finds a symbol.
     """
-    table = intervals if normalised else normal_intervals(intervals)
+    table = intervals if normalised else save(intervals)
     table = table.select(F.col("instrument_id").alias(id_column), F.col("start_date").alias("_from"),
                          F.col("end_date").alias("_to"), F.col("symbol").alias(symbol_column))
     day = F.col(date) if isinstance(date, str) else date
     left = df.drop(symbol_column).withColumn("_day", day)
+    size = None
     if split is None:
-        most = table.groupBy(id_column).count().agg(F.max("count")).first()[0]
-        split = (most or 0) > INTERVALS_PER_PROBE
+        size, most = measured(table, id_column)
+        split = most > INTERVALS_PER_PROBE
     if not split:
-        out = lookup_join(left, table, [id_column], _between, "left", **options)
+        out = lookup_join(left, table, [id_column], _between, "left", size=size, **options)
         return out.drop("_day", "_from", "_to")
     short = F.datediff("_to", "_from") < SHORT_DAYS
     by_quarter = table.where(short).select("*", F.explode(F.sequence(

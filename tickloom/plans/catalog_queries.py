@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from tickloom.functions import times
-from tickloom.operators import catalog
+from tickloom.operators import catalog, filters
 from tickloom.plans import views
 from tickloom.plans.registry import query
 from tickloom.plans.views import sql
-from tickloom.sinks import export
+from tickloom.schemas import layout
 from tickloom.session import shared_dir
+from tickloom.sinks import export
 from tickloom.sources import venues as vn
 
 
@@ -25,8 +26,6 @@ STORED = "stored AS (SELECT *, 'SET' || publisher_id AS dataset, event_type AS s
 @query("record_counts", sql("ticks", f""", {STORED} SELECT CAST(least(count(*), 1000) AS BIGINT) AS record_count FROM stored
   WHERE schema = 'click' AND ts_recv >= epoch_us(TIMESTAMP '2024-01-03') * 1000"""))
 def record_counts(spark, sf):
-    from tickloom.operators import filters
-
     t = filters.time_range(stored(spark, sf).where(F.col("schema") == "click"), "2024-01-03")
     return catalog.record_count(t, 1000)
 
@@ -128,10 +127,7 @@ def metadata_check(spark, sf):
 @query("export_and_verify")
 def export_and_verify(spark, sf):
     """Export the trades to the shared folder, list what was written, and check it."""
-    from tickloom.operators.filters import time_range
-    from tickloom.schemas import layout
-
     path = shared_dir(spark, "export")
     t = views.ticks(spark, sf).where("rtype = 0").select(*[c for c in layout("trades").columns if c != "depth"])
-    export.export(time_range(t, "2024-01-01"), path, layout("trades"), split_duration="week", map_symbols=False)
+    export.export(filters.time_range(t, "2024-01-01"), path, layout("trades"), split_duration="week", map_symbols=False)
     return export.verify(spark, export.manifest_of(spark, path), path)

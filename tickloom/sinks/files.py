@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions import prices, times
 from tickloom.operators import formatting, symbology
-from tickloom.schemas import HEADER_FIELDS, Layout
+from tickloom.schemas import HEADER_FIELDS, Layout, index_column
 
 MODES = {"w": "overwrite", "x": "errorifexists"}
 # zstd text output is not part of Spark, so text is gzipped where compression is asked for
@@ -115,25 +115,20 @@ def mapped_path(path: str, taken=()) -> str:
 def map_csv(df: DataFrame, intervals: DataFrame) -> DataFrame:
     """Any CSV records with their symbol appended. Text of the other columns stays as
     it was read; only the index time and id are parsed."""
-    from tickloom.functions.times import parse_ns, utc_date
-    from tickloom.schemas import index_column
-
-    day = utc_date(parse_ns(F.col(index_column(df.columns))))
+    day = times.utc_date(times.parse_ns(F.col(index_column(df.columns))))
     ided = df.withColumn("_id", F.col("instrument_id").cast("bigint"))
     return symbology.resolve(ided, intervals, day, id_column="_id").drop("_id")
 
 
 def map_json(lines: DataFrame, intervals: DataFrame) -> DataFrame:
     """JSON-lines text with ``symbol`` added as the last field of each record."""
-    from tickloom.functions.times import parse_ns, utc_date
-
     doc = F.col("value")
     stamp = F.coalesce(F.get_json_object(doc, "$.ts_recv"), F.get_json_object(doc, "$.hd.ts_event"))
     raw_id = F.get_json_object(doc, "$.hd.instrument_id")
     checked = F.when(raw_id.isNotNull() & stamp.isNotNull(), raw_id.try_cast("bigint")).otherwise(
         F.raise_error(F.concat(F.lit("invalid record: "), doc)).cast("bigint"))
     ided = lines.select("value", checked.alias("_id"), stamp.alias("_ts"))
-    out = symbology.resolve(ided, intervals, utc_date(parse_ns(F.col("_ts"))), id_column="_id")
+    out = symbology.resolve(ided, intervals, times.utc_date(times.parse_ns(F.col("_ts"))), id_column="_id")
     tail = F.when(F.col("symbol").isNull(), F.lit("null")).otherwise(
         F.regexp_extract(F.to_json(F.struct("symbol")), r'^\{"symbol":(.*)\}$', 1))
     body = F.regexp_replace(F.regexp_replace(doc, r"\s+$", ""), r"\}$", "")
