@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
@@ -12,7 +15,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.joins import stored
 from tickloom.session import shared_dir
 
-__all__ = ["SPACE", "WORD", "blocks", "buckets_for", "open_store", "read", "running_start", "shared_dir", "stored",
+__all__ = ["SPACE", "WORD", "blocks", "buckets_for", "open_store", "read", "running_start", "shared_dir", "ship", "stored",
            "word_count"]
 
 #: Characters that part words, and a word, as Java and RE2 patterns.
@@ -20,7 +23,25 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to the Python workers, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        base = Path(__file__).resolve().parents[2]
+        target = Path(tempfile.mkdtemp(prefix="tickloom-")) / "tickloom.zip"
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+            for path in sorted((base / "tickloom").rglob("*.py")):
+                archive.write(path, path.relative_to(base))
+        spark.sparkContext.addPyFile(str(target))
+        _shipped.add(app)
+    return spark
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

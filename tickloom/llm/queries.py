@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import mixing, token_records
+from tickloom.llm import mixing, simhash_vptree, substring_doubling, token_records
 from tickloom.llm.common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -23,12 +23,23 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.record_digest(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every document and its component of near duplicates."""
+    return simhash_vptree.digest(read(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of the sources takes of every document."""
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages that occur elsewhere."""
+    found = substring_doubling.dedup_substrings(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_records, op8_mixing)
+    f.__name__: f for f in (op1_token_records, op4_simhash_vptree, op8_mixing, op9_substring_dedup)
 }
-SQL: dict[str, str] = {"op8_mixing": mixing.MIX_SQL}
+SQL: dict[str, str] = {"op8_mixing": mixing.MIX_SQL, "op9_substring_dedup": substring_doubling.DEDUP_SQL}
