@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import mixing, simhash_vptree, substring_doubling, token_records
+from tickloom.llm import byte_cnn, mixing, simhash_vptree, substring_doubling, token_records, toxic_crf
 from tickloom.llm.common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -23,11 +23,22 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.record_digest(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the tokens a conditional random field tags."""
+    found = toxic_crf.held_out_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every document and its component of near duplicates."""
     return simhash_vptree.digest(read(spark, sf_dir, "documents"))
 
 
+def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a byte network that learns from three folds of four."""
+    return byte_cnn.held_out_languages(read(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of the sources takes of every document."""
     return mixing.mix(read(spark, sf_dir, "documents"))
@@ -40,6 +51,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_records, op4_simhash_vptree, op8_mixing, op9_substring_dedup)
+    f.__name__: f for f in (op1_token_records, op3_toxic_crf, op4_simhash_vptree, op5_byte_cnn, op8_mixing,
+                                    op9_substring_dedup)
 }
 SQL: dict[str, str] = {"op8_mixing": mixing.MIX_SQL, "op9_substring_dedup": substring_doubling.DEDUP_SQL}
