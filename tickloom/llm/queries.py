@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import byte_cnn, mixing, simhash_vptree, substring_doubling, token_records, toxic_crf
+from tickloom.llm import bm25_wand, byte_cnn, mixing, pii_weak, simhash_vptree, substring_doubling, token_records, toxic_crf
 from tickloom.llm.common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -39,6 +39,11 @@ def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.held_out_languages(read(spark, sf_dir, "documents"))
 
 
+def op6_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test items that documents hold, with the best passage of each."""
+    return bm25_wand.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of the sources takes of every document."""
     return mixing.mix(read(spark, sf_dir, "documents"))
@@ -50,8 +55,13 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op10_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: strict spans, and those that labelers agree on."""
+    return pii_weak.digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_records, op3_toxic_crf, op4_simhash_vptree, op5_byte_cnn, op8_mixing,
-                                    op9_substring_dedup)
+    f.__name__: f for f in (op1_token_records, op3_toxic_crf, op4_simhash_vptree, op5_byte_cnn, op6_bm25_wand,
+                                    op8_mixing, op9_substring_dedup, op10_pii_weak)
 }
 SQL: dict[str, str] = {"op8_mixing": mixing.MIX_SQL, "op9_substring_dedup": substring_doubling.DEDUP_SQL}
