@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bm25_wand, byte_cnn, mixing, pii_weak, simhash_vptree, substring_doubling, token_records, toxic_crf
+from tickloom.llm import bm25_wand, byte_cnn, hnsw, label_shards, mixing, pii_weak, simhash_vptree, substring_doubling, token_records, toxic_crf
 from tickloom.llm.common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -23,6 +23,11 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.record_digest(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_label_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of even counts that keep equal texts together."""
+    return label_shards.shard_rows(read(spark, sf_dir, "documents"))
+
+
 def op3_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by the tokens a conditional random field tags."""
     found = toxic_crf.held_out_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -44,6 +49,11 @@ def op6_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_wand.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op7_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty nearest vectors of every twentieth vector."""
+    return hnsw.digest(read(spark, sf_dir, "embeddings"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of the sources takes of every document."""
     return mixing.mix(read(spark, sf_dir, "documents"))
@@ -61,7 +71,7 @@ def op10_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_records, op3_toxic_crf, op4_simhash_vptree, op5_byte_cnn, op6_bm25_wand,
-                                    op8_mixing, op9_substring_dedup, op10_pii_weak)
+    f.__name__: f for f in (op1_token_records, op2_label_shards, op3_toxic_crf, op4_simhash_vptree, op5_byte_cnn, op6_bm25_wand,
+                                    op7_hnsw, op8_mixing, op9_substring_dedup, op10_pii_weak)
 }
 SQL: dict[str, str] = {"op8_mixing": mixing.MIX_SQL, "op9_substring_dedup": substring_doubling.DEDUP_SQL}
