@@ -134,23 +134,23 @@ def fit(labelled: DataFrame, text_windows: int = TEXT_WINDOWS, language_windows:
     return train(np.stack([np.frombuffer(r["window"], np.uint8) for r in rows]), [r["lang"] for r in rows])
 
 
-def identify(docs: DataFrame, net: ByteNetwork | None) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` to ``docs``, by the column ``text``.
+def identify(docs: DataFrame, net: ByteNetwork | None, prediction: str = "lang_pred", score: str = "score") -> DataFrame:
+    """Adds the columns ``prediction`` and ``score`` to ``docs``, by the column ``text``.
 
     The score is the mean probability over the bytes of the whole text. Null texts, and
     texts without a letter, are ``und`` with score 0; so is every text where nothing was
     learned. Own columns of these names are replaced.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in (prediction, score)]
     if net is None:
-        return docs.select(*kept, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*kept, F.lit(UNKNOWN).alias(prediction), F.lit(0.0).alias(score))
     inner = docs.select(*kept)
 
     def apply(batches: Iterator[pa.RecordBatch]):
         for batch, texts in blocks(batches, chars=1_000_000):
             cut = [windows_of((t or "").encode()) for t in texts]
             counts = np.array([len(s) for _, s in cut])
-            best, score = np.full(len(texts), -1), np.zeros(len(texts))
+            best, high = np.full(len(texts), -1), np.zeros(len(texts))
             full = np.flatnonzero(counts)
             if len(full):
                 p = net.probabilities(np.concatenate([w for w, _ in cut]))
@@ -158,16 +158,34 @@ def identify(docs: DataFrame, net: ByteNetwork | None) -> DataFrame:
                 starts = (np.cumsum(counts) - counts)[full]
                 mean = np.add.reduceat(p * weight[:, None], starts) / np.add.reduceat(weight, starts)[:, None]
                 best[full] = mean.argmax(axis=1)
-                score[full] = mean.max(axis=1)
+                high[full] = mean.max(axis=1)
             names = [net.languages[i] if i >= 0 else UNKNOWN for i in best]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(np.clip(score, 0, 1))],
-                                             [*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(np.clip(high, 0, 1))],
+                                             [*batch.schema.names, prediction, score])
 
-    schema = inner.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)}).schema
+    schema = inner.withColumns({prediction: F.lit(UNKNOWN), score: F.lit(0.0)}).schema
     known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return inner.mapInArrow(apply, schema).withColumns({
-        "lang_pred": F.when(known, F.col("lang_pred")).otherwise(UNKNOWN),
-        "score": F.when(known, F.col("score")).otherwise(0.0)})
+        prediction: F.when(known, F.col(prediction)).otherwise(UNKNOWN),
+        score: F.when(known, F.col(score)).otherwise(0.0)})
+
+
+def known_language(docs: DataFrame, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` (text, lang and others) in a language that their labels teach.
+
+    Texts without a letter go, and texts whose best language has a probability below
+    ``least``. Where no row has a language, only texts without a letter go.
+    """
+    net = fit(docs.select("text", "lang"))
+    named, sure = (fresh(docs, n) for n in ("prediction", "probability"))
+    kept = F.col("text").rlike(r"\p{L}") if net is None else (F.col(named) != UNKNOWN) & (F.col(sure) >= least)
+    return identify(docs, net, named, sure).where(kept).select(*docs.columns)
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def fold(doc_id: Column, folds: int, held: int) -> Column:

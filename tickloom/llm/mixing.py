@@ -52,17 +52,17 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, most:
 
 def _keyed(docs: DataFrame, size: Column | None) -> DataFrame:
     """``docs`` with the name of the source that sorts null last, the size and the key."""
-    return docs.withColumns({
-        "_src": F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), "source")),
-        "_size": word_count(F.col("text")) if size is None else size,
-        "_key": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))),
-    })
+    return docs.select(
+        F.struct(*docs.columns).alias("doc"),
+        F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), "source")).alias("src"),
+        (word_count(F.col("text")) if size is None else size).alias("size"),
+        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("key"),
+    )
 
 
 def _placed(docs: DataFrame, size, weights, share, most) -> DataFrame:
     thin = stored(_keyed(docs, size).select(
-        "doc_id", F.col("_src").alias("src"), F.col("_size").alias("size"), F.col("_key").alias("key"),
-        F.substring("_key", 1, RANGE_DIGITS).alias("range")), "mix")
+        F.col("doc.doc_id").alias("doc_id"), "src", "size", "key", F.substring("key", 1, RANGE_DIGITS).alias("range")), "mix")
     targets = source_targets(thin.groupBy("src").agg(F.sum("size").alias("source_size")), weights, share, most)
     budget = F.round("target").cast("long")
     passes = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
@@ -97,18 +97,16 @@ def mixed_documents(docs: DataFrame, size: Column | None = None, weights: Sequen
     """
     placed = _placed(docs, size, weights, share, most)
     at_cut = (F.col("start") <= F.col("rest")) & (F.col("rest") < F.col("start") + F.col("size"))
-    cuts = stored(placed.where(at_cut).groupBy(F.col("src").alias("_src")).agg(
-        F.min(F.struct("key", "size", "start", "rest", "passes")).alias("_cut")), "cuts")
-    rows = lookup_join(_keyed(docs, size), cuts, ["_src"], how="inner").where("_size > 0")
-    here = F.struct("_key", "_size")
-    cut = F.struct(F.col("_cut.key").alias("_key"), F.col("_cut.size").alias("_size"))
-    copy = F.row_number().over(Window.partitionBy("_src").orderBy("_key")) - 1
-    begin = F.col("_cut.start") + copy * F.col("_size")
-    sure = rows.where(here != cut).withColumn("_times", F.col("_cut.passes") + (here < cut).cast("int"))
+    cuts = stored(placed.where(at_cut).groupBy("src").agg(F.min(F.struct("key", "size", "start", "rest", "passes")).alias("cut")), "cuts")
+    rows = lookup_join(_keyed(docs, size), cuts, ["src"], how="inner").where("size > 0")
+    here, cut = F.struct("key", "size"), F.struct(F.col("cut.key").alias("key"), F.col("cut.size").alias("size"))
+    copy = F.row_number().over(Window.partitionBy("src").orderBy("key")) - 1
+    begin = F.col("cut.start") + copy * F.col("size")
+    sure = rows.where(here != cut).withColumn("times", F.col("cut.passes") + (here < cut).cast("int"))
     edge = rows.where(here == cut).withColumn(
-        "_times", F.col("_cut.passes") + (2 * (F.col("_cut.rest") - begin) >= F.col("_size")).cast("int"))
-    every = sure.unionByName(edge).where("_times > 0")
-    return every.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)
+        "times", F.col("cut.passes") + (2 * (F.col("cut.rest") - begin) >= F.col("size")).cast("int"))
+    every = sure.unionByName(edge).where("times > 0")
+    return every.select("doc", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("doc.*")
 
 
 #: The same in DuckDB's SQL over the table ``documents``.

@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import blocks, stored
@@ -205,17 +205,11 @@ def keep_one(docs: DataFrame, radius: int = 3, words: int = 3) -> DataFrame:
     Of several rows with that id the one with the longest text stays, then the first
     by the text itself; a row without any id is its own document and stays.
     """
-    kept = near_duplicates(docs.where("doc_id is not null"), radius, words).groupBy("component_id").agg(F.count(F.lit(1)))
-    chosen = stored(kept.select(F.col("component_id").alias("doc_id")), "kept")
-    rows = docs.join(chosen, "doc_id", "left_semi")
-    return one_of_each(rows).unionByName(docs.where("doc_id is null"))
-
-
-def one_of_each(rows: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), "text")
-    return rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    kept = near_duplicates(docs.where("doc_id is not null"), radius, words).select(F.col("component_id").alias("id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("id", F.col("doc.doc_id"))
+    order = Window.partitionBy("id").orderBy(F.length("doc.text").desc_nulls_last(), "doc.text")
+    first = rows.join(stored(kept, "kept"), "id", "left_semi").withColumn("n", F.row_number().over(order)).where("n = 1")
+    return first.unionByName(rows.where("id is null").withColumn("n", F.lit(1))).select("doc.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:

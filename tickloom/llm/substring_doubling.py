@@ -88,9 +88,13 @@ def levels(length: int) -> list[int]:
 
 
 def repeated(grams: DataFrame) -> DataFrame:
-    """The rows of ``grams`` (row, hash, pos) whose hash occurs at least twice."""
+    """The rows of the stored ``grams`` (row, hash, pos) whose hash occurs at least twice.
+
+    The hashes are counted first and stored, so that the join only deals out two tables
+    and a hash that is everywhere can be split.
+    """
     often = grams.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    return grams.join(often, "hash", "left_semi")
+    return grams.join(stored(often, "repeated"), "hash", "left_semi")
 
 
 def by_row(grams: DataFrame) -> DataFrame:
