@@ -97,9 +97,8 @@ class Field:
 
 
 def document_score(p: np.ndarray) -> float:
-    """Probability that one of the three most suspicious tokens is toxic."""
-    top = np.sort(p)[-3:]
-    return float(1 - np.prod(1 - top))
+    """Probability that the most suspicious token is toxic."""
+    return float(p.max())
 
 
 def lexicon_of(texts: list[tuple[list[bytes], int]]) -> dict[str, float]:
@@ -116,15 +115,21 @@ def lexicon_of(texts: list[tuple[list[bytes], int]]) -> dict[str, float]:
             seen.update({f for w in distinct for f in known[w]})
     often = {f for f, n in seen.items() if n >= least}
     contexts: tuple[dict, dict] = ({f: set() for f in often}, {f: set() for f in often})
+    forms: dict[str, Counter] = {f: Counter() for f in often}
     for words, y in texts:
+        done: set[str] = set()  # a text counts once for a feature, with the first place
         for i, w in enumerate(words):
             for f in known[w]:
-                if f in often:
+                if f in often and f not in done:
+                    done.add(f)
+                    forms[f][known[w][0]] += y
                     contexts[y][f].add((words[i - 1] if i else b"", words[i + 1] if i + 1 < len(words) else b""))
     odds = {}
     for f in often:
         toxic, clean = len(contexts[1][f]), len(contexts[0][f])
-        if toxic >= least:
+        # a beginning needs several forms: one alone stands for itself
+        common = forms[f].most_common(1)[0][1]
+        if toxic >= least and (f.startswith("=") or 2 * common <= forms[f].total()):
             value = math.log((toxic + 0.1) / (total[1] + 0.2)) - math.log((clean + 0.1) / (total[0] + 0.2))
             if value >= LEAST_ODDS:
                 odds[f] = value
