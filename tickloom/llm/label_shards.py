@@ -37,11 +37,12 @@ def _requests(state: DataFrame, targets: list[int]) -> DataFrame:
     """(cls, s, t, n, range): members in shard s that ask for the group's fullest shard
     t of ``targets``."""
     group = Window.partitionBy("cls")
-    full = F.struct("n", (-F.col("shard")).alias("minus"))
+    # equal counts go one way by a hash, so that in sum about as many pass each way
+    full = F.struct("n", F.xxhash64("cls", "shard").alias("tie"), "shard")
     best = F.max(F.when(F.col("shard").isin(targets), full)).over(group)
     asking = state.withColumn("best", best).where(full < F.col("best"))
     size = (63 - F.floor(F.log2(F.col("best.n").cast("double")))).cast("long")  # large groups come first
-    return asking.select("cls", F.col("shard").alias("s"), (-F.col("best.minus")).alias("t"), "n",
+    return asking.select("cls", F.col("shard").alias("s"), F.col("best.shard").alias("t"), "n",
                          (size * RANGES + F.pmod(F.xxhash64("cls"), F.lit(RANGES))).alias("range"))
 
 
