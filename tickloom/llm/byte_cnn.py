@@ -113,21 +113,34 @@ def fit(labelled: DataFrame, text_windows: int = TEXT_WINDOWS, language_windows:
     """A network for the languages of ``labelled`` (text, lang), None if it has no text.
 
     Of each text at most ``text_windows`` evenly spread windows take part, of each
-    language the ``language_windows`` with the smallest hashes.
+    language ``language_windows``: where there are more, hashes thin them out in the scan
+    to a few times that number, and the smallest of these hashes stay.
     """
+    known = labelled.where("lang is not null")
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not counts:
+        return None
     def cut(batches: Iterator[pa.RecordBatch]):
         for batch, texts in blocks(batches):
             langs, found = [], []
-            for lang, text in zip(batch.column("lang").to_pylist(), texts):
+            for lang, row, text in zip(batch.column("lang").to_pylist(), batch.column("row").to_pylist(), texts):
                 windows, _ = windows_of((text or "").encode())
                 for i in sorted(set(np.linspace(0, len(windows) - 1, text_windows).astype(int).tolist())) if len(windows) else []:
                     langs.append(lang)
-                    found.append(windows[i].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(found, pa.binary())], ["lang", "window"])
-
-    cuts = labelled.where("lang is not null").select("lang", "text").mapInArrow(cut, "lang string, window binary")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("window"), "window")
-    rows = cuts.withColumn("n", F.row_number().over(order)).where(F.col("n") <= language_windows).collect()
+                    found.append((row, i, windows[i].tobytes()))
+            columns = zip(*found) if found else ([], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.binary()))]],
+                ["lang", "row", "i", "window"])
+
+    # a text has one window at least unless it is empty
+    share = {k: min(1.0, 8 * language_windows / n) for k, n in counts.items()}
+    kept = F.create_map(*[F.lit(x) for k in sorted(share) for x in (k, int(share[k] * (1 << 30)))])
+    cuts = known.select("lang", "text", F.monotonically_increasing_id().alias("row")).mapInArrow(
+        cut, "lang string, row long, i int, window binary").withColumn("h", F.xxhash64("row", "i"))
+    thin = cuts.where(F.pmod("h", F.lit(1 << 30)) < kept[F.col("lang")])
+    order = Window.partitionBy("lang").orderBy("h", "window")
+    rows = thin.withColumn("n", F.row_number().over(order)).where(F.col("n") <= language_windows).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], r["n"]))
