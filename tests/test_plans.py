@@ -6,12 +6,12 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from tickloom.operators import bars, filters, symbology
-from tickloom.plans import views
+from tickloom.plans import registry, views
 from tickloom.schemas import layout
 from tickloom.sources import records
 
+registry.load()
 PYTHON = re.compile(r"Python|Pandas|Arrow")
 PRODUCTS = re.compile(r"CartesianProduct|NestedLoopJoin")
 
@@ -20,9 +20,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(entry.queries()) if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", [n for n in sorted(registry.QUERIES) if not n.startswith("stream_")])
 def test_no_products_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(registry.QUERIES[name](spark, SF_DIR))
     assert not PRODUCTS.search(text)
     if name not in ("export_and_verify", "replay_steps"):
         assert not PYTHON.search(text)
@@ -67,7 +67,7 @@ def test_bars_combine_before_one_shuffle(spark, width):
 
 
 def test_rollup_reuses_its_shuffle(spark):
-    df = entry.queries()["profile_rollup"](spark, SF_DIR)
+    df = registry.QUERIES["profile_rollup"](spark, SF_DIR)
     df.collect()
     text = plan(df)
     assert text.count("ReusedExchange") >= 2 or text.count("FileScan") < 8

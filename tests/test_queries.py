@@ -5,8 +5,10 @@ from compare import database, differences
 from conftest import SF_DIR
 
 import __spark_entry__ as entry
+from tickloom.plans import registry
 
-SQL = entry.oracle_sql()
+registry.load()
+SQL = registry.SQL
 
 
 @pytest.fixture(scope="module")
@@ -14,9 +16,9 @@ def con():
     return database(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = registry.QUERIES[name](spark, SF_DIR)
     if name in SQL:
         assert differences(df, con, SQL[name]) == []
     else:
@@ -30,7 +32,8 @@ def test_entry(spark):
 
 
 def test_every_check_has_a_query():
-    assert set(SQL) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(registry.QUERIES) <= set(entry.queries())
 
 
 def test_export_is_verified(spark):

@@ -15,24 +15,16 @@ WIDTHS = {"1s": times.SECOND, "1m": times.MINUTE, "1h": times.HOUR, "1d": times.
 KEYS = ("publisher_id", "instrument_id")
 
 
-def order_number(ts: str, sequence: str | None, width: int | None = None) -> Column:
+def order_number(ts: str, sequence: str | None) -> Column:
     """Time and sequence as one number, so first and last stay in hash aggregation
     (a struct key would force a sort of all rows).
 
-    In buckets below 2^31 ns the offset and a 32-bit sequence fit a bigint, which is
-    several times faster than the decimal needed otherwise. A larger sequence is an
-    arithmetic error there, not a wrong order.
+    Nineteen digits each hold every time and sequence that a bigint can.
     """
     if sequence is None:
         return F.col(ts)
-    if width is not None and width < 1 << 31:
-        small = F.col(sequence) < F.lit(1 << 32)
-        checked = F.when(small, F.col(sequence)).otherwise(
-            F.raise_error(F.lit("sequence needs more than 32 bits")).cast("bigint"))
-        return F.pmod(F.col(ts), F.lit(width)) * F.lit(1 << 32) + checked
-    # sequences are below 10^12 here
-    return F.col(ts).cast("decimal(19,0)") * F.lit(10**12).cast("decimal(13,0)") + F.col(sequence).cast(
-        "decimal(12,0)")
+    high = F.col(ts).cast("decimal(19,0)") * F.lit("1" + 19 * "0").cast("decimal(20,0)")
+    return (high + F.col(sequence).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def ohlcv(df: DataFrame, width: str | int, keys: Sequence[str] = KEYS, ts: str = "ts_event",
@@ -43,7 +35,7 @@ def ohlcv(df: DataFrame, width: str | int, keys: Sequence[str] = KEYS, ts: str =
     combines map-side, so a hot instrument costs one row per task and bucket.
     """
     step = WIDTHS[width] if isinstance(width, str) else width
-    order = order_number(ts, sequence, step)
+    order = order_number(ts, sequence)
     return (
         df.where(F.col("price") != prices.UNDEF_PRICE)
         .select(*keys, times.floor_to(F.col(ts), step).alias("bucket"), order.alias("_o"), "price", "size")
@@ -64,7 +56,7 @@ def sample_quotes(df: DataFrame, width: str | int, keys: Sequence[str] = KEYS, t
     one: each sampled row is expanded to its own run, with no calendar join.
     """
     step = WIDTHS[width] if isinstance(width, str) else width
-    order = order_number(ts, sequence, step)
+    order = order_number(ts, sequence)
     last = (
         df.select(*keys, (times.floor_to(F.col(ts), step) + step).alias("bucket"), order.alias("_o"), *values)
         .groupBy(*keys, "bucket")
@@ -89,7 +81,7 @@ def profile(df: DataFrame, levels: Sequence[str], extra_keys: Sequence[str] = ()
     Each coarser level is aggregated from the next finer one, and the shuffled finer
     level is reused, so records are read and shuffled once.
     """
-    value = F.col("price").cast("decimal(19,0)") * F.col("size").cast("decimal(12,0)")
+    value = F.col("price").cast("decimal(19,0)") * F.col("size").cast("decimal(19,0)")
     level = (
         df.where(F.col("price") != prices.UNDEF_PRICE)
         .groupBy(*extra_keys, *levels)

@@ -100,8 +100,8 @@ def unit_prices(prices: DataFrame, dataset: str) -> DataFrame:
 
 
 # The attributes that files of one stream must share.
-METADATA_ATTRIBUTES = ("version", "dataset", "schema", "start", "end", "limit", "stype_in", "stype_out",
-                       "symbols", "partial", "not_found")
+METADATA_ATTRIBUTES = ("version", "dataset", "schema", "limit", "stype_in", "stype_out", "ts_out", "symbols",
+                       "partial", "not_found", "mappings")
 
 
 def metadata_differences(manifest: DataFrame, attributes: Sequence[str] = METADATA_ATTRIBUTES,

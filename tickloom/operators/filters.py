@@ -14,7 +14,8 @@ from tickloom.operators.joins import lookup_join
 from tickloom.schemas import index_column
 
 # Fixed value: the documented number of symbols per request.
-MAX_SYMBOLS = 2_000
+#: Longer lists are joined as a table.
+LISTED_SYMBOLS = 2_000
 
 # Reference-data time columns a range may select on, and symbol columns by type.
 REFERENCE_INDEX = {
@@ -76,12 +77,14 @@ def symbols(df: DataFrame, wanted, stype: str = "raw_symbol", column: str = "sym
     names = tx.normal_symbols(wanted, stype)
     if names == [tx.ALL_SYMBOLS]:
         return df
-    if len(names) > MAX_SYMBOLS:
-        raise ValueError(f"at most {MAX_SYMBOLS} symbols; pass a table to symbols_in instead")
     if stype == "instrument_id" and column == "symbol":
         column = "instrument_id"
     kind = dict(df.dtypes)[column]
-    return df.where(F.col(column).isin([int(n) if kind in ("int", "bigint") else n for n in names]))
+    values = [int(n) if kind in ("int", "bigint") else n for n in names]
+    if len(values) <= LISTED_SYMBOLS:
+        return df.where(F.col(column).isin(values))
+    # a long list is a table of its own; the rows are the same
+    return symbols_in(df, df.sparkSession.createDataFrame([(v,) for v in values], f"`{column}` {kind}"), column)
 
 
 def symbols_in(df: DataFrame, wanted: DataFrame, column: str = "symbol", **options) -> DataFrame:

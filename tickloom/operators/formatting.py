@@ -165,17 +165,45 @@ INFO_COLUMNS = ("date_info", "rate_info", "event_info")
 _MAP = "map<string,string>"
 
 
-def info_map(info: Column, kind: str = "string", depth: int = 2) -> Column:
-    """An info object (JSON text or map) as a flat map with dotted keys."""
-    flat = F.from_json(info, _MAP) if kind == "string" else info
-    for _ in range(depth):
-        def opened(e: Column) -> Column:
-            inner = F.from_json(e["value"], _MAP)
-            sub = F.transform(F.map_entries(inner), lambda x: F.struct(
-                F.concat(e["key"], F.lit("."), x["key"]).alias("key"), x["value"].alias("value")))
-            return F.when(e["value"].startswith("{"), sub).otherwise(F.array(e))
-        flat = F.map_from_entries(F.flatten(F.transform(F.map_entries(flat), opened)))
-    return flat
+def _object(text: Column) -> Column:
+    """A JSON object with members as a map, else NULL."""
+    inner = F.when(text.startswith("{"), F.from_json(text, _MAP))
+    return F.when(F.size(inner) > 0, inner)
+
+
+def _opened(info: Column) -> Column:
+    """Members that are objects give way to their own members, with dotted names. Text
+    that only looks like an object stays; of equal names the last one is kept."""
+    def members(e: Column) -> Column:
+        inner = _object(e["value"])
+        sub = F.transform(F.map_entries(inner), lambda x: F.struct(
+            F.concat(e["key"], F.lit("."), x["key"]).alias("key"), x["value"].alias("value")))
+        return F.when(inner.isNotNull(), sub).otherwise(F.array(e))
+
+    entries = F.flatten(F.transform(F.map_entries(info), members))
+    names = F.transform(entries, lambda e: e["key"])
+    return F.map_from_entries(F.filter(entries, lambda e, i: ~F.array_contains(
+        F.slice(names, i + 2, F.size(names)), e["key"])))
+
+
+def info_map(info: Column, kind: str = "string") -> Column:
+    """An info object (JSON text or map) as a map of its own members."""
+    return F.from_json(info, _MAP) if kind == "string" else info
+
+
+def open_objects(df: DataFrame, columns: Sequence[str], depth: int | None = None) -> DataFrame:
+    """Maps without members that are objects, ``depth`` levels down or, by looking at
+    each level, as far as there are any. One step is one projection."""
+    while columns and depth != 0:
+        if depth is None:
+            nested = [F.max(F.exists(F.map_values(c), lambda v: _object(v).isNotNull())).alias(f"n{i}")
+                      for i, c in enumerate(columns)]
+            if not any(df.agg(*nested).first()):
+                break
+        else:
+            depth -= 1
+        df = df.withColumns({c: _opened(F.col(c)) for c in columns})
+    return df
 
 
 def rename_keys(info: Column) -> Column:
@@ -189,20 +217,14 @@ def rename_keys(info: Column) -> Column:
 
 
 def info_keys(df: DataFrame, columns: Sequence[str] = INFO_COLUMNS) -> dict[str, list[str]]:
-    """Field names present per info column (a distinct over map keys; names are a
-    short fixed vocabulary, their number is checked before they reach the driver)."""
+    """Field names present per info column: each becomes a column of the result."""
     def named(c: str) -> Column:
         return F.transform(F.map_keys(c), lambda k: F.struct(F.lit(c).alias("c"), k.alias("k")))
 
     entries = F.array(*[named(c) for c in columns])
-    found = df.select(F.explode(F.flatten(entries)).alias("e")).select("e.*").distinct()
-    rows = found.limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError("more than 10,000 info fields; pass keys explicitly")
-    out: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
-        out[row["c"]].append(row["k"])
-    return {c: sorted(ks) for c, ks in out.items()}
+    found = df.select(F.explode(F.flatten(entries)).alias("e")).select("e.*")
+    names = found.groupBy("c").agg(F.sort_array(F.collect_set("k")).alias("k")).collect()
+    return {c: [] for c in columns} | {r["c"]: list(r["k"]) for r in names}
 
 
 def flatten_info(df: DataFrame, columns: Sequence[str] = INFO_COLUMNS,
@@ -214,10 +236,10 @@ def flatten_info(df: DataFrame, columns: Sequence[str] = INFO_COLUMNS,
     """
     kinds = dict(df.dtypes)
     present = [c for c in columns if c in kinds]
-    maps = {c: info_map(F.col(c), "string" if kinds[c] == "string" else "map") for c in present}
+    df = df.withColumns({c: info_map(F.col(c), "string" if kinds[c] == "string" else "map") for c in present})
+    df = open_objects(df, present, max((k.count(".") for names in keys.values() for k in names), default=0) if keys else None)
     if renames:
-        maps = {c: rename_keys(m) for c, m in maps.items()}
-    df = df.withColumns(maps)
+        df = df.withColumns({c: rename_keys(F.col(c)) for c in present})
     names = {c: list(k) for c, k in (keys or info_keys(df, present)).items()}
     rest = [c for c in df.columns if c not in present]
     spread = [k for c in present for k in names.get(c, [])]

@@ -80,11 +80,20 @@ def salted_join(
     ``count_on`` is a frame with the same keys as ``left`` that is cheaper to count,
     where ``left`` is itself the result of a join.
     """
+    keyless = F.lit(False)
+    for k in keys:
+        keyless = keyless | F.col(k).isNull()
     hot = stored(hot_keys(left if count_on is None else count_on, keys, rows_per_task), "hot")
     if fits_broadcast(hot):
         hot = F.broadcast(hot)
-    spread = F.pmod(F.xxhash64(*left.columns), F.coalesce("_salts", F.lit(1)).cast("bigint")).cast("int")
-    big = left.join(hot, list(keys), "left").select(*left.columns, spread.alias("_salt"))
+    # the row's place in its input part keeps equal rows of a hot key apart; rows without
+    # a key match nothing and may go anywhere
+    plain = [f.name for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    salts = F.when(keyless, F.lit(1 << 16)).otherwise(F.coalesce("_salts", F.lit(1))).cast("bigint")
+    spread = F.pmod(F.xxhash64(*plain, "_place"), salts).cast("int")
+    placed = left.withColumn("_place", F.monotonically_increasing_id())
+    big = placed.join(hot, list(keys), "left").select(
+        *left.columns, spread.alias("_salt"))
     small = right.join(hot, list(keys), "left").select(
         *right.columns,
         F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_salt"),

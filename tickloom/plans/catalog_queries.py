@@ -112,14 +112,14 @@ def venue_codes(spark, sf):
 
 
 @query("metadata_check", sql("ticks", f""", {STORED}, f AS (SELECT dataset, schema, CAST(make_timestamp(ts_recv // 1000) AS DATE) AS start,
-  max(flags) AS version FROM stored GROUP BY ALL)
+  max(flags) AS version, max(flags) > 200 AS ts_out FROM stored GROUP BY ALL)
   SELECT schema, CAST(count(*) AS BIGINT) AS files, concat_ws(',', CASE WHEN min(version) <> max(version) THEN 'version' END,
-  CASE WHEN min(dataset) <> max(dataset) THEN 'dataset' END, CASE WHEN min(start) <> max(start) THEN 'start' END) AS differing,
+  CASE WHEN min(dataset) <> max(dataset) THEN 'dataset' END, CASE WHEN min(ts_out) <> max(ts_out) THEN 'ts_out' END) AS differing,
   false AS compatible FROM f GROUP BY 1"""))
 def metadata_check(spark, sf):
     """A manifest with one entry per dataset, schema and day."""
     files = stored(spark, sf).groupBy("dataset", "schema", times.utc_date(F.col("ts_recv")).alias("start")).agg(
-        F.max("flags").alias("version"))
+        F.max("flags").alias("version"), (F.max("flags") > 200).alias("ts_out"))
     out = catalog.metadata_differences(files, by=["schema"])
     return out.select("schema", "files", F.array_join("differing", ",").alias("differing"), "compatible")
 

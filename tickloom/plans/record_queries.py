@@ -197,10 +197,15 @@ def demux(spark, sf):
         "ts_recv", "ts_event", "instrument_id", "price", "size", "sequence")
 
 
-@query("other_schema_is_empty", """SELECT CAST(NULL AS BIGINT) AS ts_event, CAST(NULL AS BIGINT) AS open,
-  CAST(NULL AS BIGINT) AS volume FROM events WHERE false""")
+@query("other_schema_is_empty", sql("ticks", """SELECT rtype, CAST(count(*) AS BIGINT) AS quotes, CAST(0 AS BIGINT) AS bars,
+  CAST(NULL AS BIGINT) AS volume FROM ticks GROUP BY rtype"""))
 def other_schema_is_empty(spark, sf):
-    return records.as_schema(views.ticks(spark, sf), "mbp-1", layout("ohlcv-1m")).select("ts_event", "open", "volume")
+    """Rows of the stored schema by type, beside the typed but empty rows of another."""
+    ticks = views.ticks(spark, sf)
+    own = records.as_schema(ticks, "mbp-1", layout("mbp-1")).select("rtype", F.lit(1).alias("quote"))
+    bars = records.as_schema(ticks, "mbp-1", layout("ohlcv-1m")).select("rtype", "volume")
+    every = own.unionByName(bars, allowMissingColumns=True)
+    return every.groupBy("rtype").agg(F.count("quote").alias("quotes"), F.count("volume").alias("bars"), F.sum("volume").alias("volume"))
 
 
 @query("layout_versions", sql("ticks", """SELECT sequence, instrument_id, CASE WHEN sequence % 2 = 0 THEN side END AS side,

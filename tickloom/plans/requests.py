@@ -69,8 +69,9 @@ def adjustment_factors(table: DataFrame, start, end=None, symbols=None, stype_in
                        countries=None, security_types=None) -> DataFrame:
     df = filters.reference_range(table, "adjustment_factors", "ex_date", start, end)
     df = filters.reference_symbols(df, symbols, stype_in, adjustment=True)
-    df = filters.reference_filters(df, countries=countries if "listing_country" in df.columns else None,
-                                   security_types=security_types)
+    if countries and "listing_country" not in df.columns:
+        raise ValueError("this table has no listing_country to choose countries by")
+    df = filters.reference_filters(df, countries=countries, security_types=security_types)
     return df.orderBy(F.col("ex_date").asc_nulls_last(), "security_id", "event_id")
 
 

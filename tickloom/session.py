@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -36,14 +38,16 @@ _local_roots: dict[str, str] = {}
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
-    The cluster names that folder. Only a local session without the setting
-    falls back to a temporary one.
+    The cluster names that folder. Only a local session without the setting, as in
+    tests, takes a temporary one, which goes when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         app = spark.sparkContext.applicationId
-        root = _local_roots.setdefault(app, "") or tempfile.mkdtemp(prefix="tickloom-")
-        _local_roots[app] = root
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="tickloom-")
+            atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
+        root = _local_roots[app]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

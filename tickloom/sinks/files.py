@@ -121,7 +121,8 @@ def map_csv(df: DataFrame, intervals: DataFrame) -> DataFrame:
 
 
 def map_json(lines: DataFrame, intervals: DataFrame) -> DataFrame:
-    """JSON-lines text with ``symbol`` added as the last field of each record."""
+    """JSON-lines text with the ``symbol`` of each record: in the place of one that is
+    there, else as the last field. Blanks between fields go."""
     doc = F.col("value")
     stamp = F.coalesce(F.get_json_object(doc, "$.ts_recv"), F.get_json_object(doc, "$.hd.ts_event"))
     raw_id = F.get_json_object(doc, "$.hd.instrument_id")
@@ -131,5 +132,9 @@ def map_json(lines: DataFrame, intervals: DataFrame) -> DataFrame:
     out = symbology.resolve(ided, intervals, times.utc_date(times.parse_ns(F.col("_ts"))), id_column="_id")
     tail = F.when(F.col("symbol").isNull(), F.lit("null")).otherwise(
         F.regexp_extract(F.to_json(F.struct("symbol")), r'^\{"symbol":(.*)\}$', 1))
-    body = F.regexp_replace(F.regexp_replace(doc, r"\s+$", ""), r"\}$", "")
-    return out.select(F.concat(body, F.lit(',"symbol":'), tail, F.lit("}")).alias("value"))
+    tight = F.regexp_replace(doc, r'("(?:[^"\\]|\\.)*+")|\s+', "$1")
+    exact = F.regexp_replace(tail, r"([\\$])", r"\\$1")  # as a replacement text
+    replaced = F.regexp_replace(tight, F.lit(r'([{,]"symbol":)(?:"(?:[^"\\]|\\.)*+"|[^,}]*+)'), F.concat(F.lit("$1"), exact))
+    added = F.concat(F.regexp_replace(tight, r"\}$", ""), F.lit(',"symbol":'), tail, F.lit("}"))
+    known = F.coalesce(F.array_contains(F.json_object_keys(doc), "symbol"), F.lit(False))
+    return out.select(F.when(known, replaced).otherwise(added).alias("value"))

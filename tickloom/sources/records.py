@@ -106,10 +106,9 @@ def flat_json(df: DataFrame, layout: Layout, strict: bool = False) -> DataFrame:
             cols.append(typed(F.col(f.name), f))
     if strict and CORRUPT in df.columns:
         bad = F.col(CORRUPT).isNotNull() | F.col("hd.instrument_id").isNull()
-        at = layout.columns.index("instrument_id")
-        cols[at] = F.when(bad, F.raise_error(F.concat(
-            F.lit("invalid record: "), F.coalesce(CORRUPT, F.lit("no instrument id"))
-        )).cast("bigint")).otherwise(F.col("hd.instrument_id")).alias("instrument_id")
+        # as a condition on rows, so it holds whichever columns are read
+        df = df.where(F.when(bad, F.raise_error(F.concat(
+            F.lit("invalid record: "), F.coalesce(CORRUPT, F.lit("no instrument id")))).cast("boolean")).otherwise(True))
     return df.select(*cols)
 
 

@@ -57,17 +57,20 @@ def _intervals(df: DataFrame, mapping: str, start: str, end: str, symbol: str, s
         F.to_date(f"_e.{end}").alias("end_date"),
         F.when(by_in, out).otherwise(F.col("_in")).alias("symbol"),
         # documents first, then position within the document
-        (F.col("_doc") * F.lit(1 << 40) + F.col("_p").cast("bigint") * F.lit(1 << 20) + F.col("_q")).alias("seq"),
+        (F.col("_doc").cast("decimal(19,0)") * F.lit(1 << 62).cast("decimal(19,0)")
+         + (F.col("_p").cast("bigint") * F.lit(1 << 31) + F.col("_q"))).cast("decimal(38,0)").alias("seq"),
     )
 
 
 def from_response(responses: DataFrame, seq: Column | None = None) -> DataFrame:
-    return _intervals(responses, "result", "d0", "d1", "s", F.lit(0).cast("bigint") if seq is None else seq)
+    """Intervals of responses. ``seq`` orders the documents; without it they count in
+    the order they are read, so a later document wins over an earlier one."""
+    return _intervals(responses, "result", "d0", "d1", "s", F.monotonically_increasing_id() if seq is None else seq)
 
 
 def from_metadata(manifest: DataFrame, seq: Column | None = None) -> DataFrame:
     return _intervals(manifest, "mappings", "start_date", "end_date", "symbol",
-                      F.lit(0).cast("bigint") if seq is None else seq)
+                      F.monotonically_increasing_id() if seq is None else seq)
 
 
 def from_messages(messages: DataFrame, seq: Column) -> DataFrame:
