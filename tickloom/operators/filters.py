@@ -33,11 +33,15 @@ ADJUSTMENT_STYPES = {"raw_symbol": "local_code", "nasdaq_symbol": "nasdaq_symbol
 
 
 def time_range(df: DataFrame, start=None, end=None, column: str | None = None,
-               date_column: str | None = None, fill_end: bool = False) -> DataFrame:
+               date_column: str | None = None, fill_end: bool = False, stored_column: str | None = None,
+               slack_ns: int = 0) -> DataFrame:
     """``start <= t < end`` on the index time, in nanoseconds.
 
     With ``fill_end`` a missing end is the start filled forward by its resolution.
-    ``date_column`` names a date partition column that is pruned as well.
+    ``date_column`` names a date partition column that is pruned as well. Where the index
+    time is computed from a stored date or timestamp, ``stored_column`` is that column and
+    ``slack_ns`` how far the two may lie apart: the same range, rounded outward, then
+    reaches the scan.
     """
     name = column or index_column(df.columns)
     low = None if start is None else times.bound_ns(start)
@@ -48,6 +52,12 @@ def time_range(df: DataFrame, start=None, end=None, column: str | None = None,
         df = df.where(F.col(name) >= low)
     if high is not None:
         df = df.where(F.col(name) < high)
+    if stored_column:
+        kind = dict(df.dtypes)[stored_column]
+        if low is not None:
+            df = df.where(F.col(stored_column) >= F.timestamp_micros(F.lit((low - slack_ns) // 1000)).cast(kind))
+        if high is not None:
+            df = df.where(F.col(stored_column) <= F.timestamp_micros(F.lit(-(-(high + slack_ns) // 1000))).cast(kind))
     if date_column:
         if low is not None:
             df = df.where(F.col(date_column) >= times.utc_date(F.lit(low)))

@@ -13,9 +13,9 @@ from tickloom.sinks import export
 from tickloom.sources import venues as vn
 
 
-def stored(spark, sf):
+def stored(spark, sf, stored_time=False):
     """Ticks with their dataset and schema names."""
-    return views.ticks(spark, sf).withColumn(
+    return views.ticks(spark, sf, stored_time).withColumn(
         "dataset", F.concat(F.lit("SET"), F.col("publisher_id").cast("string"))).withColumn(
         "schema", F.col("event_type"))
 
@@ -26,7 +26,7 @@ STORED = "stored AS (SELECT *, 'SET' || publisher_id AS dataset, event_type AS s
 @query("record_counts", sql("ticks", f""", {STORED} SELECT CAST(least(count(*), 1000) AS BIGINT) AS record_count FROM stored
   WHERE schema = 'click' AND ts_recv >= epoch_us(TIMESTAMP '2024-01-03') * 1000"""))
 def record_counts(spark, sf):
-    t = filters.time_range(stored(spark, sf).where(F.col("schema") == "click"), "2024-01-03")
+    t = filters.time_range(stored(spark, sf, True).where(F.col("schema") == "click"), "2024-01-03", **views.STORED_TIME)
     return catalog.record_count(t, 1000)
 
 

@@ -24,7 +24,7 @@ PX = ("CASE WHEN {0} <> 9223372036854775807 THEN CASE WHEN {0} < 0 THEN '-' ELSE
 @query("time_range", sql("trades", """SELECT ts_event, publisher_id, instrument_id, sequence, price / 1e9 AS price, size
   FROM trades WHERE day >= DATE '1996-03-01' AND day < DATE '1999-07-01'"""))
 def time_range(spark, sf):
-    out = filters.time_range(views.trades(spark, sf), "1996-03-01", "1999-07-01")
+    out = filters.time_range(views.trades(spark, sf, stored=True), "1996-03-01", "1999-07-01", **views.STORED_TIME)
     return out.select("ts_event", "publisher_id", "instrument_id", "sequence",
                       prices.to_float(F.col("price")).alias("price"), "size")
 
@@ -32,7 +32,7 @@ def time_range(spark, sf):
 @query("range_fills_forward", sql("trades", """SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(size) AS BIGINT) AS volume
   FROM trades WHERE day >= DATE '1997-06-01' AND day < DATE '1997-07-01'"""))
 def range_fills_forward(spark, sf):
-    out = filters.time_range(views.trades(spark, sf), "1997-06", fill_end=True)
+    out = filters.time_range(views.trades(spark, sf, stored=True), "1997-06", fill_end=True, **views.STORED_TIME)
     return out.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("volume"))
 
 
@@ -294,8 +294,8 @@ def subscription_union(spark, sf):
 def range_request(spark, sf):
     """One whole request: range, symbols that are valid on the day, time order."""
     named = views.saved_intervals(spark, sf).withColumn("symbol", F.upper("symbol"))
-    out = requests.time_series(views.trades(spark, sf), "1997", symbols="red widget.1997,hot rod.1997,small ring.1997",
-                               intervals=named, normalised=True)
+    out = requests.time_series(views.trades(spark, sf, stored=True), "1997", symbols="red widget.1997,hot rod.1997,small ring.1997",
+                               intervals=named, normalised=True, **views.STORED_TIME)
     return out.select("ts_event", "instrument_id", "sequence", "size", F.lower("symbol").alias("symbol"))
 
 

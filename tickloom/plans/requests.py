@@ -15,7 +15,7 @@ def time_series(
     records: DataFrame, start, end=None, symbols=None, stype_in: str = "raw_symbol",
     intervals: DataFrame | None = None, dataset: str | None = None, schema: str | None = None,
     limit: int | None = None, date_column: str | None = None, normalised: bool = False,
-    ordered: bool = True, **join_options,
+    ordered: bool = True, stored_column: str | None = None, slack_ns: int = 0, **join_options,
 ) -> DataFrame:
     """Records of ``[start, end)`` for the symbols, in time order, at most ``limit``.
 
@@ -28,7 +28,9 @@ def time_series(
     for column, value in (("dataset", dataset), ("schema", schema)):
         if value is not None:
             df = df.where(F.col(column) == value)
-    df = filters.time_range(df, start, end, date_column=date_column, fill_end=True)
+    df = filters.time_range(df, start, end, date_column=date_column, fill_end=True, stored_column=stored_column,
+                            slack_ns=slack_ns)
+    df = df.drop(stored_column) if stored_column else df
     names = tx.normal_symbols(symbols, stype_in)
     if names != [tx.ALL_SYMBOLS]:
         if stype_in == "instrument_id":

@@ -27,9 +27,15 @@ def _cents(value: str):
     return F.round(F.col(value) * 100).cast("bigint") * F.lit(10_000_000)
 
 
-def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: The stored time of a view, and how far the computed times lie from it.
+STORED_TIME = {"stored_column": "stored_at", "slack_ns": 5_000_000}
+
+
+def trades(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    """The trade view; with ``stored`` it keeps the stored time for range filters."""
     t = table(spark, sf_dir, "lineitem")
     return t.select(
+        *([F.col("l_shipdate").alias("stored_at")] if stored else []),
         times.from_timestamp(F.col("l_shipdate")).alias("ts_event"),
         (F.col("l_suppkey") % 142 + 1).cast("int").alias("publisher_id"),
         F.col("l_partkey").alias("instrument_id"),
@@ -42,8 +48,9 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ticks_of(events: DataFrame) -> DataFrame:
-    """The tick view of an ``events`` table or stream."""
+def ticks_of(events: DataFrame, stored: bool = False) -> DataFrame:
+    """The tick view of an ``events`` table or stream; with ``stored`` it keeps the stored
+    time for range filters."""
     eid = F.col("event_id")
     us = times.from_timestamp(F.col("ts"))
     kind = F.lit(None).cast("int")
@@ -51,6 +58,7 @@ def ticks_of(events: DataFrame) -> DataFrame:
         kind = F.when(F.col("event_type") == name, F.lit(code)).otherwise(kind)
     px = F.when(F.pmod(eid, F.lit(97)) == 0, F.lit(UNDEF_PRICE)).otherwise(_cents("value"))
     return events.select(
+        *([F.col("ts").alias("stored_at")] if stored else []),
         (us + F.pmod(eid * 7919, F.lit(1000))).alias("ts_recv"),
         (us - F.pmod(eid * 7919, F.lit(5_000_000))).alias("ts_event"),
         kind.alias("rtype"),
@@ -75,8 +83,8 @@ def ticks_of(events: DataFrame) -> DataFrame:
     )
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ticks_of(table(spark, sf_dir, "events"))
+def ticks(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    return ticks_of(table(spark, sf_dir, "events"), stored)
 
 
 def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
