@@ -55,9 +55,12 @@ def events(df: DataFrame, pit: bool = False, index: str = "event_date", key: str
 
 
 def last_master(df: DataFrame, key: str = "listing_id") -> DataFrame:
-    """Latest security-master record per listing, ordered by its effective time."""
-    return latest_rows(df, key, ["ts_effective", "ts_record"]).orderBy(
-        F.col("ts_effective").asc_nulls_last(), F.col(key).asc())
+    """Latest security-master record per listing, ordered by its effective time. Between
+    records equal in both times a hash of the record decides, so reruns agree."""
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    last = latest_rows(df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in plain])), key,
+                       ["ts_effective", "ts_record", "_tie"]).drop("_tie")
+    return last.orderBy(F.col("ts_effective").asc_nulls_last(), F.col(key).asc())
 
 
 def _moment(df: DataFrame, column: str) -> Column:

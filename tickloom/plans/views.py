@@ -139,10 +139,9 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A publisher dimension: supplier in a nation (venue) of a region (dataset)."""
     s, n, r = (table(spark, sf_dir, x) for x in ("supplier", "nation", "region"))
-    # nation and region are fixed lists of a few dozen rows
     return (
-        s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-        .join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+        s.join(n, s.s_nationkey == n.n_nationkey)
+        .join(r, n.n_regionkey == r.r_regionkey)
         .select((F.col("s_suppkey") + 1).cast("int").alias("publisher_id"),
                 F.concat_ws(".", "r_name", "n_name", "s_name").alias("name"),
                 F.col("n_name").alias("venue"), F.col("r_name").alias("dataset"),
