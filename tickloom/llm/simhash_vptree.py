@@ -33,11 +33,9 @@ _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder=
 HALVES = (np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFF00000000))
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """Majority of the bits over the hashes of all ``words``-word shingles."""
+def shingles(text: str | None, words: int = 3) -> np.ndarray:
+    """Hashes of all ``words``-word shingles; a text with fewer words is one shingle."""
     parts = (text or "").encode().lower().split()  # both act on ASCII alone
-    if not parts:
-        return 0
     digest = xxhash.xxh64_intdigest
     if len(parts) <= words:
         hashes = [digest(b" ".join(parts), SEED)]
@@ -46,7 +44,15 @@ def fingerprint(text: str | None, words: int = 3) -> int:
         ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
         starts = np.concatenate([[0], ends[:-words]]).tolist()
         hashes = [digest(whole[s:e], SEED) for s, e in zip(starts, (ends[words - 1:] - 1).tolist())]
-    octets = np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8)
+    return np.array(hashes, "<u8")
+
+
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """Majority of the bits over the hashes of all ``words``-word shingles."""
+    if not (text or "").encode().split():
+        return 0
+    hashes = shingles(text, words)
+    octets = hashes.view(np.uint8).reshape(-1, 8)
     ones = np.concatenate([np.bincount(octets[:, i], minlength=256) @ _BITS for i in range(8)])
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
