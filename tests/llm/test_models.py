@@ -110,6 +110,19 @@ def test_leaks(table):
     assert bm25_wand.leaks(docs.where("false"), bench).count() == 0
 
 
+@pytest.mark.parametrize("n", range(1, 13))
+def test_short_items_are_found(n):
+    rng = np.random.default_rng(n)
+    prose = [f"p{i}" for i in rng.integers(0, 2000, 700)]
+    item = [f"q{i}" for i in range(n)]
+    index = bm25_wand.Index([(1, " ".join(item)), (2, " ".join(f"r{i}" for i in range(30)))])
+    for at in (0, 29, 30, 333, 700):
+        assert [h.item for h in index.hits(" ".join(prose[:at] + item + prose[at:]))] == [1]
+    assert [h.item for h in index.hits(" ".join(item))] == [1]
+    apart = [w for x in item for w in (x, "p1", "p2")]
+    assert [h.item for h in index.hits(" ".join(prose + apart))] == ([1] if n == 1 else [])
+
+
 def test_benchmark_leaks_are_the_planted_ones(spark):
     texts = {r["doc_id"]: r["text"] for r in read(spark, SF, "documents").collect()}
     want = {(i, b["item_id"]) for b in read(spark, SF, "benchmark").collect() for i, t in texts.items() if b["text"] in t}

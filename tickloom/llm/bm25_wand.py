@@ -100,8 +100,9 @@ class Index:
         for t, (docs, impacts) in enumerate(zip(self.docs, self.impacts)):
             np.maximum.at(self.block[t], np.array(docs) // self.size, impacts)
         self.bound = [max(x) for x in self.impacts]
-        parts = [(len(t) - max(1, len(t) // 3) if len(t) > 1 else 1, t) for _, t in self.items]
-        self.sides = [(grams(t[:k]), grams(t[k:] or t)) for k, t in parts]
+        # both sides are as long as a triple at least, so the triples of short items straddle the cut
+        parts = [(len(t) - len(t) // 3, t) for _, t in self.items]
+        self.sides = [(grams(t[:max(k, GRAM)]), grams(t[max(0, min(k, len(t) - GRAM)):])) for k, t in parts]
         self.longest = max((len(t) for _, t in self.items), default=1)
         self.numbers = Numbers()
         self.numbers.known = self.number
@@ -180,9 +181,12 @@ class Index:
         for p, a, b in self.promising(passage, number):
             rows = self.retrieve(number[a:b].tolist())
             if rows:
-                inside = grams([t for t in map(term, words[p * stride:(p + 2) * stride]) if t])
+                own_terms = [t for t in map(term, words[p * stride:(p + 2) * stride]) if t]
+                # items of fewer words than a triple are compared as a whole
+                inside = {n: grams(own_terms, n) for n in {min(GRAM, len(self.items[d][1])) for d, _ in rows}}
                 for d, score in rows:
-                    q, r = (len(side & inside) / len(side) for side in self.sides[d])
+                    held = inside[min(GRAM, len(self.items[d][1]))]
+                    q, r = (len(side & held) / len(side) for side in self.sides[d])
                     if q >= QUESTION and r >= ANSWER and (d not in best or score > best[d].score):
                         best[d] = Hit(self.items[d][0], p * stride, score, q, r)
         return [best[d] for d in sorted(best)]
