@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+import os
 from collections import Counter
 from decimal import Decimal
 
 import duckdb
 
+#: The tables that the tests read.
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",

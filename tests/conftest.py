@@ -15,6 +15,3 @@ def spark():
     session = local_session("8", "tests", shuffle_partitions=4)
     yield session
     session.stop()
-
-
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")

@@ -1,8 +1,7 @@
 """Every registered query against its SQL on the given tables."""
 
 import pytest
-from compare import database, differences
-from conftest import SF_DIR
+from compare import SF_DIR, database, differences
 
 import __spark_entry__ as entry
 from tickloom.plans import registry
