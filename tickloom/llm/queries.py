@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import best_positions, bm25_wand, byte_cnn, hnsw, label_shards, mixing, pii_weak, prefix_targets, simhash_vptree, substring_doubling, token_records, toxic_crf
+from tickloom.llm import best_positions, bm25_wand, byte_cnn, hnsw, label_shards, merkle_manifest, mixing, pii_weak, prefix_targets, simhash_vptree, substring_doubling, token_records, toxic_crf
 from tickloom.llm.common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -80,9 +80,16 @@ def op12_best_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_positions.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of every document, held against a tampered copy."""
+    return merkle_manifest.tampered(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_records, op2_label_shards, op3_toxic_crf, op4_simhash_vptree, op5_byte_cnn, op6_bm25_wand,
-                                    op7_hnsw, op8_mixing, op9_substring_dedup, op10_pii_weak, op11_prefix_targets, op12_best_positions)
+                                    op7_hnsw, op8_mixing, op9_substring_dedup, op10_pii_weak, op11_prefix_targets, op12_best_positions,
+                                    op13_merkle_manifest)
 }
 SQL: dict[str, str] = {"op8_mixing": mixing.MIX_SQL, "op9_substring_dedup": substring_doubling.DEDUP_SQL,
-                       "op11_prefix_targets": prefix_targets.PREFIX_SQL, "op12_best_positions": best_positions.RANKED_SQL}
+                       "op11_prefix_targets": prefix_targets.PREFIX_SQL, "op12_best_positions": best_positions.RANKED_SQL,
+                       "op13_merkle_manifest": merkle_manifest.MANIFEST_SQL}
