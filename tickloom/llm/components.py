@@ -21,9 +21,11 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m"))
+        # written, so that a join with a hub's edges has shuffles of its own, which can be split
+        low = stored(both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m")), "lowest")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, "links")
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         small = (
             large.join(low, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
             .select("e.u", F.col("e.m").alias("v")).where("u <> v").distinct()

@@ -12,17 +12,18 @@ fingerprints, before the exact distance is counted.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import blocks, stored
 from tickloom.llm.components import components
+from tickloom.operators.joins import lookup_join
 
 #: Seed of the shingle hash.
 SEED = 42
@@ -57,15 +58,16 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp) with the fingerprint's bits as a long."""
+def fingerprints(docs: DataFrame, words: int = 3, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and fp, the fingerprint's bits of the text as a long."""
 
     def score(batches: Iterator[pa.RecordBatch]):
         for batch, texts in blocks(batches):
             found = np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(found)], [*keep, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, fp long")
+    kinds = dict(docs.dtypes)
+    return docs.select(*keep, "text").mapInArrow(score, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", fp long")
 
 
 class Tree:
@@ -159,7 +161,9 @@ def links(distinct: DataFrame, radius: int = 3, sample: int = SAMPLE, shard: int
     """Links (a, b) that connect all fingerprints of ``distinct`` (fp) within ``radius``.
 
     ``distinct`` should be stored. The trees are grown on at most ``sample`` of its rows,
-    those with the smallest hashes; that shapes the shards and not the result.
+    those with the smallest hashes; that shapes the shards and not the result. Leaves of
+    the trees that come out larger than ``shard`` are cut into blocks, and each two blocks
+    of a leaf meet in a task, so that no task holds more than a few times ``shard``.
     """
     n = distinct.count()
     picked = distinct.orderBy(F.xxhash64("fp"), "fp").limit(min(sample, n)).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
@@ -183,8 +187,23 @@ def links(distinct: DataFrame, radius: int = 3, sample: int = SAMPLE, shard: int
         a, b = forest(points[home], points, radius)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    dealt = distinct.mapInArrow(deal, "leaf long, fp long, home boolean")
-    return dealt.groupBy("leaf").applyInPandas(pairs, "a long, b long")
+    dealt = stored(distinct.mapInArrow(deal, "leaf long, fp long, home boolean"), "shards")
+    counts = dealt.groupBy("leaf").count().where(F.col("count") > 4 * shard)
+    large = counts.select("leaf", F.ceil(F.col("count") / (2 * shard)).cast("int").alias("blocks"))
+    # one row for each large leaf: there are no more leaves than 8,192 (SAMPLE / 16 in each tree)
+    cut = dealt.join(F.broadcast(large), "leaf", "left").select(
+        "leaf", "fp", "home", F.coalesce("blocks", F.lit(1)).alias("blocks"),
+        F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1))).cast("int").alias("own"))
+    meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    met = cut.select("leaf", "fp", "home", "own", meets).select(
+        "leaf", "fp", "home", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+    return met.groupBy("leaf", "one", "two").applyInPandas(pairs, "a long, b long")
+
+
+def component_roots(marked: DataFrame, radius: int) -> DataFrame:
+    """Stored (fp, root) of all fingerprints in ``marked`` (fp) that others are linked to."""
+    distinct = stored(marked.select("fp").distinct(), "distinct-fingerprints")
+    return components(links(distinct, radius)).select(F.col("node").alias("fp"), "root")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 3, words: int = 3) -> DataFrame:
@@ -195,27 +214,47 @@ def near_duplicates(docs: DataFrame, radius: int = 3, words: int = 3) -> DataFra
     never a component's name unless all of its rows have none; repeated rows each come back.
     """
     marked = stored(fingerprints(docs, words), "fingerprints")
-    first = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    roots = component_roots(marked, radius)
+    first = marked.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots, "fp", "left")
+    first = stored(first.select("fp", "least", F.coalesce("root", "fp").alias("root")), "fingerprint-roots")
     # components are numbered by fingerprints, and named by the smallest document inside
-    groups = components(links(first.select("fp"), radius))
-    linked = first.join(groups.select(F.col("node").alias("fp"), "root"), "fp")
-    names = linked.groupBy("root").agg(F.min("least").alias("name"))
-    renamed = linked.join(names, "root").select("fp", "name")
-    every = first.join(renamed, "fp", "left").select("fp", F.coalesce("name", "least").alias("component_id"))
-    return marked.join(stored(every, "components"), "fp").select("doc_id", "fp", "component_id")
+    names = stored(first.groupBy("root").agg(F.min("least").alias("component_id")), "names")
+    return marked.join(stored(first.join(names, "root").select("fp", "component_id"), "components"), "fp").select(
+        "doc_id", "fp", "component_id")
+
+
+def _row_key() -> list[Column]:
+    """What tells rows apart but for repeated ones: the id, and a hash of the text."""
+    return [F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+            F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash")]
 
 
 def keep_one(docs: DataFrame, radius: int = 3, words: int = 3) -> DataFrame:
     """One row of ``docs`` for each component: that of the smallest doc_id.
 
-    Of several rows with that id the one with the longest text stays, then the first
-    by the text itself; a row without any id is its own document and stays.
+    Of several texts with that id the longest stays, then that of the smallest hash; of
+    repeated rows one. Rows without an id come after all others of their component. Only
+    ids and hashes are grouped: rows that have no duplicate never leave the scan, and the
+    list of the others is broadcast where it is small enough.
     """
-    kept = near_duplicates(docs.where("doc_id is not null"), radius, words).select(F.col("component_id").alias("id")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("id", F.col("doc.doc_id"))
-    order = Window.partitionBy("id").orderBy(F.length("doc.text").desc_nulls_last(), "doc.text")
-    first = rows.join(stored(kept, "kept"), "id", "left_semi").withColumn("n", F.row_number().over(order)).where("n = 1")
-    return first.unionByName(rows.where("id is null").withColumn("n", F.lit(1))).select("doc.*")
+    keys = ["none", "id", "hash"]
+    size = F.coalesce(F.length("text"), F.lit(0)).alias("size")
+    marked = stored(fingerprints(docs.select("text", "doc_id", *_row_key(), size), words, (*keys, "size")), "fingerprints")
+    rows = marked.join(component_roots(marked, radius), "fp", "left").groupBy(
+        F.coalesce("root", "fp").alias("root"), *keys).agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    rows = stored(rows, "rows")
+    best = rows.groupBy("root").agg(F.min(F.struct("none", "id", (-F.col("size")).alias("size"), "hash")).alias("best"), F.count(F.lit(1)).alias("texts"))
+    told = rows.join(best.where("texts > 1"), "root", "left").withColumn(
+        "stays", F.col("best").isNull() | (F.struct(*keys) == F.struct(*[F.col(f"best.{k}").alias(k) for k in keys])))
+    marks = stored(told.where("not stays or n > 1").select(*keys, "stays"), "marks")
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"), *_row_key())
+    out = lookup_join(keyed, marks, keys, how="left")
+    kept = out.where("stays is null").select("doc.*")
+    if marks.where("stays").isEmpty():
+        return kept
+    whole = [f"doc.`{f.name}`" for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    once = out.where("stays").groupBy(*keys).agg(F.min_by("doc", F.xxhash64(*whole)).alias("doc"))
+    return kept.unionByName(once.select("doc.*"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
