@@ -15,7 +15,7 @@ from tickloom.llm.byte_cnn import known_language
 from tickloom.llm.common import read, ship, stored
 from tickloom.llm.mixing import mixed_documents
 from tickloom.llm.queries import tokenizer_path
-from tickloom.llm.shingle_bands import keep_one
+from tickloom.llm.simhash_vptree import keep_one
 from tickloom.llm.token_records import record_digest
 
 
@@ -26,7 +26,7 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that share four fifths of their five-word shingles."""
+    """One document of each group of texts whose fingerprints link at 3 bits or fewer."""
     ship(spark)
     return keep_one(docs)
 
