@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickloom.llm import components, mixing, shingle_bands, simhash_vptree, substring_doubling, token_records
+from tickloom.llm import components, mixing, simhash_vptree, substring_doubling, token_records
 from tickloom.llm.queries import tokenizer_path
 from tickloom.llm.words import Encoder
 
@@ -150,7 +150,7 @@ def test_fingerprints_and_components(table):
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(set(smallest(near, ids).values()))
 
 
-@pytest.mark.parametrize("shard", [50, 10_000])
+@pytest.mark.parametrize("shard", [2, 50, 10_000])
 def test_links_join_all_that_is_near(spark, table, shard):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 150, dtype=np.uint64)
@@ -162,41 +162,33 @@ def test_links_join_all_that_is_near(spark, table, shard):
     near = [(every[i], every[j]) for i in range(len(points))
             for j in (np.flatnonzero(np.bitwise_count(points[i + 1:] ^ points[i]) <= 3) + i + 1).tolist()]
     assert smallest(found, every) == smallest(near, every)
-    assert len(found) < 4 * len(points)
+    assert shard == 2 or len(found) < 4 * len(points)
 
 
-def five(text):
-    ws = (text or "").lower().split()
-    return {" ".join(ws[i:i + 5]) for i in range(max(1, len(ws) - 4))}
-
-
-def test_groups_are_those_of_all_pairs():
-    rng = np.random.default_rng(7)
-    sets = []
-    for _ in range(60):
-        base = rng.choice(2000, rng.integers(1, 60), replace=False)
-        sets += [np.unique(np.append(base[rng.random(len(base)) < 0.93], rng.integers(0, 2000, rng.integers(1, 4)))) for _ in range(4)]
-    near = [(a, b) for a in range(240) for b in range(a + 1, 240)
-            if len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))]
-    assert len(near) > 50
-    assert dict(enumerate(shingle_bands.groups([s.astype(np.uint64) for s in sets]).tolist())) == smallest(near, range(240))
-
-
-def test_stage_keeps_one_of_four_fifths(spark):
-    """Brute force: every pair of documents that shares 0.8 of its five-word shingles."""
+def test_stage_keeps_one_of_each_component(spark):
+    """Brute force: every pair of documents whose fingerprints differ in three bits or fewer."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    texts = {r["doc_id"]: five(r["text"]) for r in docs.collect()}
-    ids = sorted(texts)
-    near = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1:] if 5 * len(texts[a] & texts[b]) >= 4 * len(texts[a] | texts[b])]
+    prints = {r["doc_id"]: plain_fingerprint(r["text"]) for r in docs.collect()}
+    ids = np.array(sorted(prints))
+    bits = np.array([prints[i] for i in ids.tolist()], np.uint64)
+    near = [(int(ids[i]), int(ids[j])) for i in range(len(ids)) for j in (np.flatnonzero(np.bitwise_count(bits[i + 1:] ^ bits[i]) <= 3) + i + 1)]
     kept = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "/root/testdata/sf0.01").collect())
-    assert kept == sorted(set(smallest(near, ids).values()))
+    assert kept == sorted(set(smallest(near, ids.tolist()).values()))
 
 
 def test_rows_with_one_id_and_unlike_texts_stay(table):
     other = " ".join(f"v{i}" for i in range(70))
-    rows = [(i, t, "en", "s", 1, "r", "z", "p") for i, t in [(3, PASSAGE), (5, PASSAGE + " end"), (5, other), (5, other), (None, other), (None, "alone"), (None, "ALONE"), (7, None), (8, " ")]]
-    kept = [(r["doc_id"], r["text"]) for r in shingle_bands.keep_one(table(rows, DOCS)).collect()]
+    texts = [(3, PASSAGE), (5, PASSAGE), (5, other), (5, other), (None, other), (None, "alone"), (None, "ALONE"), (7, None), (8, " ")]
+    docs = table([(i, t, "en", "s", 1, "r", "z", "p") for i, t in texts], DOCS)
+    kept = [(r["doc_id"], r["text"]) for r in simhash_vptree.keep_one(docs).collect()]
     assert sorted(map(str, kept)) in [sorted(map(str, [(3, PASSAGE), (5, other), (None, t), (7, None)])) for t in ("alone", "ALONE")]
+    assert simhash_vptree.keep_one(docs).columns == docs.columns
+
+
+def test_repeated_rows_without_duplicates_elsewhere(table):
+    """One row of each, also where the rows are all that a component has."""
+    docs = table([(i % 3, f"text number {i % 3} of its own", None, None, None, "r", "z", str(i % 2)) for i in range(60)], DOCS)
+    assert sorted(r["doc_id"] for r in simhash_vptree.keep_one(docs).collect()) == [0, 1, 2]
 
 
 def test_components_of_a_long_chain(table):
@@ -234,6 +226,6 @@ def test_windows_and_choices(size, width):
 
 @pytest.mark.parametrize("run", [
     lambda d: token_records.record_digest(d, tokenizer_path()), mixing.mix, mixing.mixed_documents, simhash_vptree.digest,
-    simhash_vptree.keep_one, shingle_bands.keep_one, substring_doubling.dedup_substrings])
+    simhash_vptree.keep_one, substring_doubling.dedup_substrings])
 def test_empty_tables(table, run):
     assert run(table([], DOCS).where(F.lit(True))).count() == 0
