@@ -1,7 +1,7 @@
 """Networks, fields, indexes, graphs, labelers and shards."""
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -15,8 +15,22 @@ SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, p string, block string"
 
 
-def rows_of(texts, langs=None):
-    return [(i, t, (langs or {}).get(i), "s", 1, "x", "y", "z") for i, t in enumerate(texts)]
+def rows_of(texts, langs=None, ids=None):
+    return [(ids[i] if ids else i, t, (langs or {}).get(i), "s", 1, "x", "y", "z") for i, t in enumerate(texts)]
+
+
+def plain_network(net, window):
+    """The network one filter and one place at a time."""
+    hidden, n = [], byte_cnn.FILTERS
+    for f in range(n * len(byte_cnn.WIDTHS)):
+        width = byte_cnn.WIDTHS[f // n]
+        kernel = net.filters[:, f].reshape(max(byte_cnn.WIDTHS), byte_cnn.EMBED)[:width]
+        places = range(len(window) - max(byte_cnn.WIDTHS) + 1)
+        best = max(float((net.embed[window[i:i + width]] * kernel).sum()) for i in places)
+        hidden.append(max(best + float(net.bias[f]), 0.0))
+    x = np.array(hidden) @ net.out + net.out_bias
+    e = np.exp(x - x.max())
+    return e / e.sum()
 
 
 def test_languages_held_out(spark):
@@ -26,6 +40,33 @@ def test_languages_held_out(spark):
     assert got.where("score < 0 or score > 1 or score is null").count() == 0
 
 
+def test_languages_do_not_depend_on_files(spark, tmp_path):
+    docs = read(spark, SF, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    found = []
+    for n in (1, 7):
+        docs.repartition(n, "source" if n > 1 else "lang").write.parquet(str(tmp_path / str(n)))
+        rows = byte_cnn.held_out_languages(spark.read.parquet(str(tmp_path / str(n)))).collect()
+        found.append(sorted(map(tuple, rows)))
+    # one network; how single precision sums are grouped follows the batches
+    assert [r[:3] for r in found[0]] == [r[:3] for r in found[1]]
+    assert np.allclose([r[3] for r in found[0]], [r[3] for r in found[1]], rtol=0, atol=1e-6)
+
+
+def test_probabilities_are_those_of_plain_loops():
+    rng = np.random.default_rng(6)
+    windows = rng.integers(0, 256, (12, byte_cnn.WINDOW), dtype=np.uint8)
+    net = byte_cnn.train(windows, ["a", "b", "c"] * 4)
+    for window, got in zip(windows, net.probabilities(windows)):
+        assert np.allclose(got, plain_network(net, window), atol=1e-5)
+
+
+def test_repeated_texts_teach_once(table):
+    texts = [("een tekst in deze taal nummer %d" % (i % 40), "nl") for i in range(400)] + [("un texte dans cette langue %d" % i, "fr") for i in range(40)]
+    net = byte_cnn.fit(table([*texts, (None, "fr"), ("", "nl"), ("zonder", None)], "text string, lang string"))
+    got = byte_cnn.identify(table([(1, "nog een tekst in deze taal", "x", 0.5)] * 2, "doc_id long, text string, lang_pred string, score double"), net).collect()
+    assert [r["lang_pred"] for r in got] == ["nl", "nl"]
+
+
 def test_languages_of_odd_texts(table):
     texts = [None, "", " 12 .,!", "ñandú que los " * 30, "the and with " * 30, "the with and " * 200, "é" * 50_000]
     docs = table(rows_of(texts, {3: "es", 4: "en", 5: "en"}), DOCS)
@@ -48,6 +89,16 @@ def test_toxicity_held_out(spark):
     assert n[1, 1] > 0.8 * (n[1, 1] + n.get((1, 0), 0)) and n.get((0, 1), 0) < 0.03 * n[0, 0]
 
 
+def test_training_rows_are_bounded(table, monkeypatch):
+    """Many rows of one id: at most the bound of texts is learned from."""
+    seen = []
+    monkeypatch.setattr(toxic_crf, "learn", lambda rows: seen.append(rows))
+    docs = table(rows_of([f"words of text {i}" for i in range(600)], ids=[7] * 600), DOCS)
+    labels = table([(7, 0, 1), (7, 0, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    toxic_crf.fit(docs, labels, documents=50)
+    assert Counter(y for _, y in seen[0]) == {0: 50, 1: 50} and len({t for t, _ in seen[0]}) == 50
+
+
 def test_marginals_are_those_of_all_paths():
     crf = toxic_crf.Field({"=bad": 3.0, "=odd": 1.0}, 1.3, -2.0, np.array([[0.5, -0.7], [-0.2, 0.4]]))
     words = "fine bad odd fine fine bad".encode().split()
@@ -104,6 +155,11 @@ def test_leaks(table):
     assert found == {(1, 3), (2, 5), (6, 8), (6, 9), (7, -1)}
     small = [x for x in bm25_wand.indexes(bench, 2000)]
     assert len(small) > 2 and sum(len(x.items) for x in small) == 41
+    # partial copies near the threshold are judged alike whatever part an item is in
+    part = [(i, " ".join(x[1].split()[:n])) for i, (x, n) in enumerate((items[k], n) for k in range(12, 24) for n in (24, 30, 34, 36))]
+    halves = table(rows_of([prose(40) + " " + t + " " + prose(60) for _, t in part]), DOCS)
+    whole, cut = ([tuple(r) for r in bm25_wand.leaks(halves, bench, n).orderBy("doc_id", "item_id").collect()] for n in (2 << 20, 2000))
+    assert whole == cut and 0 < len(whole) < len(part)
     clean = bm25_wand.without_leaks(docs, bench)
     assert clean.columns == docs.columns and sorted(r["doc_id"] for r in clean.collect()) == [0, 3, 4, 5]
     assert bm25_wand.leaks(docs, bench.where("false")).count() == 0
@@ -151,6 +207,26 @@ def test_neighbours(table):
     assert [r["vec_id"] for r in sorted(got) if r["query_id"] == 20] == list(range(1500, 1520))
 
 
+def test_repeated_rows_are_asked_once(table):
+    """Every row twice, and one query id with two unlike vectors."""
+    rng = np.random.default_rng(8)
+    vectors = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(301)]
+    got = defaultdict(list)
+    for r in hnsw.digest(table(vectors * 2, "vec_id long, embedding array<float>")).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    found = hits = 0
+    for q, best in exact(vectors).items():
+        assert len(got[q]) == 20 and len(set(got[q])) == 10
+        hits += len(set(got[q]) & {i for _, i in best[:10]})
+        found += 10
+    assert hits >= 0.95 * found
+    once = hnsw.digest(table([*vectors, vectors[20]], "vec_id long, embedding array<float>")).where("query_id = 20").collect()
+    assert sorted(r["rank"] for r in once) == list(range(1, 21)) and len({r["vec_id"] for r in once}) == 20
+    other = rng.normal(size=8).astype(np.float32).tolist()
+    both = hnsw.digest(table([*vectors, (20, other)], "vec_id long, embedding array<float>")).where("query_id = 20").collect()
+    assert sorted(r["rank"] for r in both) == sorted([*range(1, 21)] * 2)
+
+
 def test_few_or_no_vectors(table):
     few = table([(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (40, [0.5, 0.5], 0)], "vec_id long, embedding array<float>, label int")
     got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in hnsw.digest(few).collect())

@@ -75,16 +75,30 @@ class Numbers(dict):
         return np.fromiter(found, np.int64, len(words))
 
 
+@dataclass
+class Corpus:
+    """Counts over all items, whichever part an index holds: items with a term, terms in
+    all, terms of the longest, and how many items hold each term of the part."""
+
+    items: int
+    words: int
+    longest: int
+    holding: dict[str, int]
+
+
 class Index:
     """Postings of the items, with bounds by term and by block."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD, corpus: Corpus | None = None):
         self.items = [(i, t) for i, t in ((i, terms(text)) for i, text in items) if t]
         self.threshold = threshold
         counts = [Counter(t) for _, t in self.items]
-        n, mean = len(counts), sum(map(len, (t for _, t in self.items))) / max(1, len(counts))
-        seen = Counter(t for c in counts for t in c)
-        idf = {t: math.log(1 + (n - k + 0.5) / (k + 0.5)) for t, k in seen.items()}
+        if corpus is None:  # these items are all there are
+            lengths = [len(t) for _, t in self.items]
+            corpus = Corpus(len(counts), sum(lengths), max(lengths, default=1), Counter(t for c in counts for t in c))
+        n, mean = len(counts), corpus.words / max(1, corpus.items)
+        seen = {t for c in counts for t in c}
+        idf = {t: math.log(1 + (corpus.items - corpus.holding[t] + 0.5) / (corpus.holding[t] + 0.5)) for t in seen}
         self.number = {t: i for i, t in enumerate(sorted(seen))}
         self.docs: list[list[int]] = [[] for _ in seen]
         self.impacts: list[list[float]] = [[] for _ in seen]
@@ -103,7 +117,7 @@ class Index:
         # both sides are as long as a triple at least, so the triples of short items straddle the cut
         parts = [(len(t) - len(t) // 3, t) for _, t in self.items]
         self.sides = [(grams(t[:max(k, GRAM)]), grams(t[max(0, min(k, len(t) - GRAM)):])) for k, t in parts]
-        self.longest = max((len(t) for _, t in self.items), default=1)
+        self.longest = corpus.longest
         self.numbers = Numbers()
         self.numbers.known = self.number
 
@@ -194,18 +208,33 @@ class Index:
 
 def indexes(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> Iterator[Index]:
     """Indexes over parts of ``benchmark`` (item_id, text) of at most ``index_bytes`` each,
-    but for a single longer item."""
-    sized = stored(benchmark.where("text is not null").select(
-        F.col("item_id").cast("long"), "text", F.octet_length("text").cast("long").alias("bytes"),
-        F.pmod(F.xxhash64("item_id", "text"), F.lit(64)).alias("bucket")), "items")
+    but for a single longer item. Term weights, mean and longest length are those of all
+    items, so what is found doesn't depend on the parts."""
+    def split(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            found = [terms(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([len(f) for f in found], pa.int64()), pa.array([sorted(set(f)) for f in found], pa.list_(pa.string()))],
+                [*batch.schema.names, "words", "terms"])
+
+    cut = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text").mapInArrow(
+        split, "item_id long, text string, words long, terms array<string>").where("words > 0")
+    sized = stored(cut.select("*", F.octet_length("text").cast("long").alias("bytes"),
+                              F.pmod(F.xxhash64("item_id", "text"), F.lit(64)).alias("bucket")), "items")
     placed = stored(running_start(sized, [], "bucket", ["item_id", "text"], "bytes", "start"), "items")
-    last = placed.agg(F.max("start")).first()[0]
+    last, items, words, longest = placed.agg(F.max("start"), F.count(F.lit(1)), F.sum("words"), F.max("words")).first()
+    each = placed.select("start", F.explode("terms").alias("term"))
+    holding = stored(each.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "terms")
     for part in range(0 if last is None else last // index_bytes + 1):
-        rows = placed.where(F.floor(F.col("start") / index_bytes) == part).select("item_id", "text").collect()
-        yield Index(sorted((r["item_id"] if r["item_id"] is not None else -1, r["text"]) for r in rows))
+        here = F.floor(F.col("start") / index_bytes) == part
+        rows = placed.where(here).select("item_id", "text").collect()
+        # the terms of one part, which is of bounded size
+        known = dict(holding.join(each.where(here).select("term").distinct(), "term").select("term", "n").collect())
+        yield Index(sorted((r["item_id"] if r["item_id"] is not None else -1, r["text"]) for r in rows),
+                    corpus=Corpus(items, words, longest, known))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """(doc_id, item_id, place, score, question, answer) for every item found in a row of
     ``docs`` (doc_id, text), at its best passage; ``place`` counts words from 0.
 
@@ -226,7 +255,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = "doc_id long, item_id long, place long, score double, question double, answer double"
     thin = docs.select(F.col("doc_id").cast("long"), "text")
     out = None
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, index_bytes):
         part = thin.mapInArrow(search(index), schema)
         out = part if out is None else out.unionByName(part)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out

@@ -114,10 +114,12 @@ def fit(labelled: DataFrame, text_windows: int = TEXT_WINDOWS, language_windows:
 
     Of each text at most ``text_windows`` evenly spread windows take part, of each
     language ``language_windows``: where there are more, hashes thin them out in the scan
-    to a few times that number, and the smallest of these hashes stay.
+    to a few times that number, and the smallest of these hashes stay. The hashes are those
+    of text and window, so the sample doesn't depend on how the rows lie in files; a text
+    that repeats counts once for a language.
     """
-    known = labelled.where("lang is not null")
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    known = labelled.where("lang is not null").select("lang", "text", F.xxhash64("text").alias("row"))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("row", 0.02).alias("n")).collect()}
     if not counts:
         return None
     def cut(batches: Iterator[pa.RecordBatch]):
@@ -136,9 +138,8 @@ def fit(labelled: DataFrame, text_windows: int = TEXT_WINDOWS, language_windows:
     # a text has one window at least unless it is empty
     share = {k: min(1.0, 8 * language_windows / n) for k, n in counts.items()}
     kept = F.create_map(*[F.lit(x) for k in sorted(share) for x in (k, int(share[k] * (1 << 30)))])
-    cuts = known.select("lang", "text", F.monotonically_increasing_id().alias("row")).mapInArrow(
-        cut, "lang string, row long, i int, window binary").withColumn("h", F.xxhash64("row", "i"))
-    thin = cuts.where(F.pmod("h", F.lit(1 << 30)) < kept[F.col("lang")])
+    cuts = known.mapInArrow(cut, "lang string, row long, i int, window binary").withColumn("h", F.xxhash64("row", "i", "window"))
+    thin = cuts.where(F.pmod("h", F.lit(1 << 30)) < kept[F.col("lang")]).select("lang", "h", "window").distinct()
     order = Window.partitionBy("lang").orderBy("h", "window")
     rows = thin.withColumn("n", F.row_number().over(order)).where(F.col("n") <= language_windows).collect()
     if not rows:

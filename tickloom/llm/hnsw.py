@@ -10,11 +10,8 @@ answers are merged, and the scores of the merged rows come from the original vec
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,6 +167,8 @@ def build_index(vectors: DataFrame, top: int, shard: int = SHARD, least: int = S
                               "ids": ids, "levels": levels}])
 
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
+    # a task for every shard: small partitions of one stage would be put together
+    dealt = dealt.repartition(4 * shards, "shard")
     return stored(dealt.groupBy("shard").applyInPandas(build, SHARD_TYPE), "graphs")
 
 
@@ -185,34 +184,37 @@ def nearest(queries: DataFrame, vectors: DataFrame, top: int = 20, effort: int =
     (vec_id, v), both as ``usable`` gives them.
 
     A vector is no neighbour of its own id. Fewer candidates than ``top`` give fewer rows;
-    ties go to the smaller id; ids that occur twice are candidates twice. Vectors must
-    have one length. Queries go to the shards in blocks of bounded size.
+    ties go to the smaller id; ids that occur twice are candidates twice. A query row that
+    is repeated is asked once; unlike vectors with one id are queries of their own, each
+    with ranks from 1. Vectors must have one length. Queries go to the shards in blocks of
+    bounded size.
     """
     graphs = build_index(vectors, top)
-    asked = stored(queries, "queries")
+    asked = stored(queries.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("_times")).select("vec_id", "v", F.xxhash64("v").alias("vkey")), "queries")
     numbered = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(1, -(-asked.count() // QUERIES)))))
 
     def answer(key, graph_rows: pd.DataFrame, query_rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in graph_rows.to_dict("records"):
             graph, ids = load(row)
-            for qid, v in zip(query_rows["vec_id"], query_rows["v"]):
+            for qid, v, vkey in zip(query_rows["vec_id"], query_rows["v"], query_rows["vkey"]):
                 q = np.append(np.asarray(v, np.float32), np.float32(0))
-                for node in graph.search(q, max(effort, top + 1))[: top + 8]:
-                    out += [(qid, int(i)) for i in ids[node] if i is not None and i != qid]
-        return pd.DataFrame(out, columns=["query_id", "vec_id"]).astype("int64")
+                # the whole list of the walk: its order is single precision, the cut follows exact scores
+                for node in graph.search(q, max(effort, top + 1)):
+                    out += [(qid, vkey, int(i)) for i in ids[node] if i is not None and i != qid]
+        return pd.DataFrame(out, columns=["query_id", "vkey", "vec_id"]).astype("int64")
 
     # every block meets every shard: the stated queries against all rows, in blocks
     shards = [r["shard"] for r in graphs.select("shard").collect()]
     blocks = [r["block"] for r in numbered.select("block").distinct().collect()]
     left = graphs.withColumn("block", F.explode(F.array(*[F.lit(b).cast("long") for b in blocks]) if blocks else F.array().cast("array<long>")))
     right = numbered.withColumn("shard", F.explode(F.array(*[F.lit(s) for s in shards]) if shards else F.array().cast("array<int>")))
-    pairs = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(answer, "query_id long, vec_id long")
+    pairs = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(answer, "query_id long, vkey long, vec_id long")
     scored = (
-        pairs.distinct().join(asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
-        .join(vectors, "vec_id").select("query_id", "vec_id", dot(F.col("q"), F.col("v")).alias("score"))
+        pairs.distinct().join(asked.select(F.col("vec_id").alias("query_id"), "vkey", F.col("v").alias("q")), ["query_id", "vkey"])
+        .join(vectors, "vec_id").select("query_id", "vkey", "vec_id", dot(F.col("q"), F.col("v")).alias("score"))
     )
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "vkey").orderBy(F.col("score").desc(), "vec_id"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
 
@@ -220,10 +222,3 @@ def digest(embeddings: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
     vectors = usable(embeddings, "vec_id", "embedding")
     return nearest(vectors.where(F.col("vec_id") % every == 0), vectors, top)
 
-
-def shard_rows(graphs: DataFrame) -> Iterator[pa.Table]:
-    """The flat arrays of each shard, one shard at a time."""
-    for row in graphs.toLocalIterator():
-        graph, ids = load(row.asDict(recursive=True))
-        for level, (nodes, _, neighbours) in enumerate(graph.levels):
-            yield pa.table({"level": np.full(len(nodes), level), "ids": [ids[i] for i in nodes], "neighbours": neighbours.tolist()})

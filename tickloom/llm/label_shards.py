@@ -57,11 +57,15 @@ def _passes(asked: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[in
     return allowed
 
 
-def propagate(groups: DataFrame, shards: int, capacity: int, rounds: int = 10) -> tuple[DataFrame, list[int]]:
-    """Stored (cls, shard, n) for ``groups`` (cls, n, range), and the rows in each shard."""
+def propagate(groups: DataFrame, shards: int, capacity: int) -> tuple[DataFrame, list[int]]:
+    """Stored (cls, shard, n) for ``groups`` (cls, n, range), and the rows in each shard.
+
+    Rounds go on until two in a row move nothing. Every move lowers the number of cut
+    links, so they come to an end.
+    """
     state = stored(_spread(groups, shards), "shards")
-    idle = 0
-    for turn in range(rounds):
+    idle = turn = 0
+    while idle < 2:
         held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         room = [max(0, capacity - held.get(t, 0)) for t in range(shards)]
         open_ = [t for t in range(shards) if room[t]]
@@ -69,10 +73,9 @@ def propagate(groups: DataFrame, shards: int, capacity: int, rounds: int = 10) -
         asking = stored(_requests(state, list(range(shards)) if turn % 2 == 0 else open_), "requests") if open_ or turn % 2 == 0 else None
         asked = {} if asking is None else {(r["s"], r["t"]): r["n"] for r in asking.groupBy("s", "t").agg(F.sum("n").alias("n")).collect()}
         passes = {k: n for k, n in _passes(asked, room).items() if n}
+        turn += 1
         if not passes:
             idle += 1
-            if idle == 2:
-                break
             continue
         idle = 0
         table = F.array(*[F.lit(passes.get((s, t), 0)).cast("long") for s in range(shards) for t in range(shards)])

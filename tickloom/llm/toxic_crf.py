@@ -29,6 +29,8 @@ from tickloom.llm.common import blocks
 
 #: Bounds of the training sample: documents of each label, characters of one.
 LABEL_DOCUMENTS, DOCUMENT_CHARS = 2000, 20_000
+#: Places of one training text that the field learns from, at most.
+TEXT_PLACES = 4
 #: A feature belongs to the lexicon from this log odds on, seen in so many toxic texts and
 #: in this share of them, each time between other words: copies count once.
 LEAST_ODDS, LEAST_TEXTS, LEAST_SHARE = 3.0, 6, 0.008
@@ -147,7 +149,7 @@ def learn(rows: list[tuple[str, int]], rounds: int = 100) -> Field | None:
     for words, y in tokens:
         scores = np.array([crf.score(w) for w in words])
         hits = np.flatnonzero(scores)
-        middles = hits[:4].tolist() if len(hits) else [len(words) // 2]
+        middles = hits[:TEXT_PLACES].tolist() if len(hits) else [len(words) // 2]
         for m in middles:
             part = scores[max(0, m - CONTEXT): m + CONTEXT + 1]
             padded = np.zeros(width)
@@ -192,14 +194,16 @@ def _slope(crf: Field, x: np.ndarray, gold: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, documents: int = LABEL_DOCUMENTS, chars: int = DOCUMENT_CHARS) -> Field | None:
     """Learns from at most ``documents`` distinct texts of each label: those with the
     smallest hashes among texts of at most ``chars`` characters. ``docs`` has doc_id and
-    text, ``labels`` doc_id and toxic (0, 1)."""
+    text, ``labels`` doc_id and toxic (0, 1). Repeated rows, and texts that repeat under one
+    label, count once; a row without an id has no label."""
     short = docs.where(F.char_length("text") <= chars)
     hashed = short.select("doc_id", F.xxhash64("text").alias("h")).join(labels, "doc_id")
     distinct = hashed.groupBy("toxic", "h").agg(F.min("doc_id").alias("doc_id"))
     order = Window.partitionBy("toxic").orderBy("h")
     picked = distinct.withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents)
-    # two labels times ``documents`` rows at most
-    rows = short.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic", "n").collect()
+    # two labels times ``documents`` rows at most, also where many rows share an id or a text
+    found = short.select("doc_id", "text", F.xxhash64("text").alias("h")).join(F.broadcast(picked), ["doc_id", "h"])
+    rows = found.groupBy("toxic", "n").agg(F.min("text").alias("text")).collect()
     return learn([(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["toxic"], r["n"], r["text"]))])
 
 
@@ -208,6 +212,7 @@ def tag(docs: DataFrame, crf: Field | None, threshold: float = THRESHOLD) -> Dat
 
     Spans are offsets in code points, end exclusive, of tokens with P(toxic) of one half
     or more. Null and empty texts, and all texts where nothing was learned, score 0.
+    Repeated rows each come back; other columns are ignored.
     """
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
