@@ -14,7 +14,8 @@ from tickloom.plans.registry import query
 from tickloom.plans.symbology_queries import MESSAGES, _NEAR, _TICK_MAP, _TICK_SYMBOL, _near, messages_of
 from tickloom.plans.views import sql
 from tickloom.streaming import operators as op
-from tickloom.streaming import sinks, sources
+from tickloom.session import shared_dir
+from tickloom.streaming import sinks, sources, state
 
 # Event times at or below this are final once all input is read, for a one-minute delay.
 _MARK = "(SELECT (max(ts_event) // 1000000) * 1000000 - 60000000000 FROM ticks)"
@@ -69,7 +70,12 @@ def stream_activity(spark, sf):
     return sinks.drain(spark, op.activity(tick_stream(spark, sf), "5 hours", "1 hour"))
 
 
-@query("stream_spans")
+# one-publisher sessions of 40 s; the last ones are open as long as the watermark has not passed their end
+@query("stream_spans", sql("ticks", f""", o AS (SELECT publisher_id, ts_recv, (ts_recv // 1000) * 1000 AS us, (ts_recv // 1000) * 1000
+  - lag((ts_recv // 1000) * 1000) OVER (PARTITION BY publisher_id ORDER BY ts_recv) > 40000000000 AS fresh FROM ticks),
+  s AS (SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY publisher_id ORDER BY ts_recv ROWS UNBOUNDED PRECEDING) AS n FROM o)
+  SELECT publisher_id, min(us) AS first_ts, max(ts_recv) AS last_ts, max(us) + 40000000000 AS silent_from, CAST(count(*) AS BIGINT) AS records
+  FROM s GROUP BY publisher_id, n HAVING max(us) + 40000000000 <= (SELECT (max(ts_recv) // 1000000) * 1000000 - 60000000000 FROM ticks)"""))
 def stream_spans(spark, sf):
     return sinks.drain(spark, op.active_spans(tick_stream(spark, sf), ["publisher_id"]))
 
@@ -85,3 +91,46 @@ def stream_without_repeats(spark, sf):
 def stream_late_rows(spark, sf):
     late, _good = op.late_and_good(tick_stream(spark, sf), times.bound_ns("2024-01-02"))
     return sinks.drain(spark, late.select("sequence", "flags"))
+
+
+@query("stream_timeouts", sql("ticks", """SELECT publisher_id, min(ts_recv) AS first_ts, max(ts_recv) AS last_ts,
+  CAST(count(*) AS BIGINT) AS records FROM ticks GROUP BY 1"""))
+def stream_timeouts(spark, sf):
+    """The feed ends for good, so every publisher runs into its timer (a short one here)."""
+    path = shared_dir(spark, "timeouts")
+    out = state.timeouts(tick_stream(spark, sf), ["publisher_id"], limit=2.0)
+    state.run_until_silent(sinks.to_folder(out, path, once=False))
+    return spark.read.schema(out.schema).parquet(path)
+
+
+@query("stream_live_map", sql("ticks", f""", {MESSAGES} SELECT t.sequence, t.instrument_id, m.stype_out_symbol AS symbol
+  FROM (SELECT *, ts_event * 100000000::HUGEINT + sequence AS o FROM ticks WHERE rtype <> 22) t ASOF LEFT JOIN
+  (SELECT *, ts_event * 100000000::HUGEINT + sequence AS o FROM messages) m ON t.instrument_id = m.instrument_id AND t.o >= m.o"""))
+def stream_live_map(spark, sf):
+    """Records and mapping messages of one feed, each record with the symbol it had when it came."""
+    messages = messages_of(tick_stream(spark, sf))
+    out = state.map_live(tick_stream(spark, sf).where("rtype <> 22"), messages)
+    return sinks.drain(spark, out.select("sequence", "instrument_id", "symbol"))
+
+
+@query("stream_lateness", sql("ticks", """, m AS (SELECT sequence % 3 AS part, (max(ts_event) // 1000000) * 1000000 - 60000000000 AS mark
+  FROM ticks GROUP BY 1) SELECT sequence, coalesce((ts_event // 1000000) * 1000000 < w, false) AS late, coalesce(w, 0) AS watermark_ns
+  FROM (SELECT t.*, (SELECT max(mark) FROM m WHERE part < t.sequence % 3) AS w FROM ticks t)"""))
+def stream_lateness(spark, sf):
+    """A feed that arrives in three parts, each over the whole time: later parts are late."""
+    feed, mark, out = (shared_dir(spark, x) for x in ("feed", "mark", "late"))
+    t = views.ticks(spark, sf).select("sequence", "ts_event")
+    for part in range(3):
+        t.where(F.pmod("sequence", F.lit(3)) == part).write.mode("append").parquet(feed)
+        told = state.with_lateness(sources.open_stream(spark, feed, t.schema), "1 minute")
+        sinks.to_folder(told.select("sequence", "late", "watermark_ns"), out, mark).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("stream_snapshot", sql("ticks", """SELECT sequence, CASE WHEN sequence < 500 THEN flags | 32 ELSE flags END AS flags FROM ticks"""))
+def stream_snapshot(spark, sf):
+    """A bounded snapshot in front of the live records."""
+    live = tick_stream(spark, sf).where("sequence >= 500")
+    held = views.ticks(spark, sf).where("sequence < 500")
+    out = sources.subscribe(live, "mbo", snapshot=True, state=held)
+    return sinks.drain(spark, out.select("sequence", "flags"))

@@ -11,6 +11,7 @@ from tickloom.functions import text as tx
 from tickloom.functions import times
 from tickloom.operators import catalog, filters
 from tickloom.schemas import index_column
+from tickloom.session import shared_dir
 
 
 def open_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -24,11 +25,14 @@ def open_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 def subscribe(stream: DataFrame, schema: str | None = None, symbols=None, stype: str = "raw_symbol",
               start=None, snapshot: bool = False, state: DataFrame | None = None,
-              dataset: str | None = None) -> DataFrame:
+              dataset: str | None = None, snapshot_path: str | None = None) -> DataFrame:
     """Records of one dataset, schema and symbol list.
 
     ``start`` replays from a time on (0 for all). ``snapshot`` is for ``mbo`` without a
-    start; it puts the snapshot records of ``state`` in front of the stream's own.
+    start; it puts the snapshot records of ``state`` in front of the stream's own. A
+    bounded ``state`` is handed over by a folder, written once, that the stream reads as a
+    whole in its first batch and not again. A query that is to start again from its
+    checkpoint names that folder by ``snapshot_path``; what is there already stays.
     """
     if snapshot and start is not None:
         raise ValueError("a snapshot cannot have a start")
@@ -45,11 +49,21 @@ def subscribe(stream: DataFrame, schema: str | None = None, symbols=None, stype:
     if tx.normal_symbols(symbols, stype) != [tx.ALL_SYMBOLS]:
         out = filters.symbols(out, symbols, stype, key)
     if snapshot and state is not None:
+        if not state.isStreaming:
+            state = handed_over(state.select(*out.columns), snapshot_path)
         marked = state.withColumn("flags", F.col("flags").bitwiseOR(F.lit(fl.FLAG_BITS["f_snapshot"])))
         out = marked.select(*out.columns).unionByName(out)
     return out
 
 
+def handed_over(df: DataFrame, path: str | None = None) -> DataFrame:
+    """A bounded frame as a stream that yields its rows once, in the first batch."""
+    spark = df.sparkSession
+    folder = path or shared_dir(spark, "snapshot")
+    df.write.mode("ignore").parquet(folder)
+    return open_stream(spark, folder, df.schema)
+
+
 def check_headers(manifest: DataFrame) -> None:
     """Stop before a restart when stored files disagree with each other."""
     row = catalog.metadata_differences(manifest).first()
