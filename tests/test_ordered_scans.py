@@ -144,10 +144,48 @@ def test_bars_skip_null_prices_and_take_wide_sequences(spark):
     assert bars.ohlcv(wide, "1s", ("instrument_id",), ts="ts_recv").first()["open"] == 10
 
 
-def test_width_follows_the_hot_key(spark):
-    df = spark.range(1000).select(F.lit(1).alias("k"), (F.col("id") * S).alias("t"))
-    assert sg.pick_width(df, ["k"], "t", rows_per_segment=1000) == sg.TIME_WIDTHS[0]
-    assert sg.pick_width(df, ["k"], "t", rows_per_segment=100) == sg.TIME_WIDTHS[2]
+def test_segments_of_a_burst_stay_small(spark):
+    """Half of all rows lie in one second of one key, next to many small keys and empty ones."""
+    n, target = 40_000, 1_000
+    i = F.col("id")
+    df = spark.range(n).select(
+        F.when(i % 2 == 0, F.lit(-1)).when(i % 11 == 0, F.lit(None)).otherwise(i % 300).alias("k"),
+        F.when(i % 2 == 0, 10**15 + i * 17).otherwise(i * S).alias("t"))
+    cut = sg.segmented(df, ["k"], "t", target)
+    counts = cut.groupBy("k", sg.SEGMENT).agg(F.count("*").alias("n"), F.min("t").alias("a"), F.max("t").alias("b")).collect()
+    assert max(r["n"] for r in counts) <= 2 * target
+    assert len([r for r in counts if r["k"] == -1]) >= 12 and len([r for r in counts if r["k"] is None]) > 1
+    assert {r[sg.SEGMENT] for r in counts if r["k"] not in (-1, None)} == {0}
+    for k in (-1, None):
+        own = sorted((r[sg.SEGMENT], r["a"], r["b"]) for r in counts if r["k"] == k)
+        assert all(x[2] < y[1] for x, y in zip(own, own[1:]))
+    whole = sg.segmented(df, [], "t", target).groupBy(sg.SEGMENT).count()
+    assert whole.agg(F.max("count")).first()[0] <= 2 * target
+
+
+def test_many_cut_points_are_looked_up_by_run(spark):
+    cuts = F.array(*[F.array(*[F.lit(j * 10) for j in range(i, min(i + sg.STEP, 150))]) for i in range(0, 150, sg.STEP)])
+    got = spark.range(0, 1600).select("id", sg.place(cuts, F.col("id")).alias("n")).collect()
+    assert all(r["n"] == min(r["id"] // 10 + 1, 150) for r in got)
+
+
+@pytest.mark.parametrize("run", [
+    lambda df: quality.event_ordinal(df), lambda df: quality.snapshot_ends(df), lambda df: quality.silences(df, ["instrument_id"]),
+    lambda df: quality.clock_faults(df, ["instrument_id"]), lambda df: asof.prevailing_quote(df.drop("price"), df, ["price"])])
+def test_ordered_scans_start_no_job_of_their_own(spark, case, run):
+    _, df = case
+    spark.sparkContext.setJobGroup("ordered", "plans only")
+    try:
+        run(df)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("ordered")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_long_gaps_are_filled_in_stretches(spark):
+    df = spark.createDataFrame([(1, 5 * S, 0, 7), (1, 20_000 * S, 1, 8)], "instrument_id bigint, ts_recv bigint, sequence bigint, bid bigint")
+    got = bars.sample_quotes(df, "1s", keys=["instrument_id"], values=["bid"], forward_fill=True)
+    assert got.count() == 19_996 and got.where("bid = 8").count() == 1 and got.select("ts_recv").distinct().count() == 19_996
 
 
 def test_lag_flag(spark):

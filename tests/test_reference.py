@@ -93,7 +93,7 @@ def test_master_without_look_ahead(spark):
     facts = spark.createDataFrame([("x", d(n)) for n in (1, 5, 8, 9, 11, 20)], "id string, t date")
     got = {r["t"].day: r["name"] for r in pointintime.master_as_of(facts, master, "id", "t", ["name"]).collect()}
     assert got == {1: "a", 5: "a", 8: "a", 9: "b", 11: "b", 20: "b"}
-    spread = pointintime.master_as_of(facts, master, "id", "t", ["name"], broadcast_bytes=-1, rows_per_task=2, rows_per_segment=1)
+    spread = pointintime.master_as_of(facts, master, "id", "t", ["name"], broadcast_bytes=-1, rows_per_segment=1)
     assert {r["t"].day: r["name"] for r in spread.collect()} == got
 
 

@@ -26,9 +26,8 @@ def prevailing_quote(
     t = trades.select(*keys, ts, sequence, F.lit(1).alias("_tag"), F.struct(*trades.columns).alias("_t"),
                       F.lit(None).cast(_struct_type(quotes.select(*values))).alias("_q"))
     both = q.unionByName(t)
-    cell = width or sg.pick_width(both, keys, ts, rows_per_segment=rows_per_segment)
     order = F.struct(F.col(ts), F.col(sequence))
-    both = sg.with_segment(both, ts, cell)
+    both = sg.segmented(both, keys, ts, rows_per_segment, width)
     # taken over trades as well, since a segment without quotes needs a carried row
     carry = sg.carry_in(
         both, keys,

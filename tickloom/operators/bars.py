@@ -13,6 +13,8 @@ from tickloom.operators import segments as sg
 # Bar and sample widths by schema suffix.
 WIDTHS = {"1s": times.SECOND, "1m": times.MINUTE, "1h": times.HOUR, "1d": times.DAY, "eod": times.DAY}
 KEYS = ("publisher_id", "instrument_id")
+#: Buckets that a gap is filled with at a time.
+STRETCH = 4096
 
 
 def order_number(ts: str, sequence: str | None) -> Column:
@@ -64,15 +66,17 @@ def sample_quotes(df: DataFrame, width: str | int, keys: Sequence[str] = KEYS, t
     )
     if not forward_fill:
         return last.select(F.col("bucket").alias(ts), *keys, *values)
-    cell = sg.pick_width(last, keys, "bucket", rows_per_segment=rows_per_segment)
-    cut = sg.with_segment(last, "bucket", cell)
+    cut = sg.segmented(last, keys, "bucket", rows_per_segment)
     carry = sg.carry_in(cut, keys, {"_next": F.min("bucket")},
                         {"_next": lambda c: F.min(c).over(sg.after(keys))})
     following = F.coalesce(F.lead("bucket").over(sg.inside(keys, "bucket")), F.col("_next"))
     until = F.coalesce(F.col("_following") - step, F.col("bucket"))
+    # first stretches of a few thousand buckets, then the buckets, so that a long gap is no long array
+    stretch = F.lit(step * STRETCH)
     runs = sg.join_carry(cut, carry, keys).withColumn("_following", following).select(
-        *keys, *values, F.explode(F.sequence("bucket", until, F.lit(step))).alias(ts))
-    return runs.select(ts, *keys, *values)
+        *keys, *values, until.alias("_until"), F.explode(F.sequence("bucket", until, stretch)).alias("_first"))
+    end = F.least(F.col("_until"), F.col("_first") + stretch - step)
+    return runs.select(F.explode(F.sequence("_first", end, F.lit(step))).alias(ts), *keys, *values)
 
 
 def profile(df: DataFrame, levels: Sequence[str], extra_keys: Sequence[str] = ()) -> DataFrame:

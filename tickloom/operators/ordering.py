@@ -35,8 +35,7 @@ def row_numbers(df: DataFrame, ts: str | None = None, ties: Sequence[str] = ("pu
     over groups of segments and then inside the group.
     """
     name = ts or index_column(df.columns)
-    cell = width or sg.pick_width(df, (), name, rows_per_segment=rows_per_segment)
-    cut = sg.with_segment(df, name, cell)
+    cut = sg.segmented(df, (), name, rows_per_segment, width)
     counts = cut.groupBy(sg.SEGMENT).agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_g", F.floor(F.col(sg.SEGMENT) / SEGMENTS_PER_GROUP))
     # one row per few thousand segments: small enough for the single window task

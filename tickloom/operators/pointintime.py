@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.functions import times
 from tickloom.operators import segments as sg
-from tickloom.operators.joins import lookup_join, stored
+from tickloom.operators.joins import stored
+from tickloom.operators.spans import moment, span_join
 
 _LAST = "9999-12-31 00:00:00"
 
@@ -63,14 +63,6 @@ def last_master(df: DataFrame, key: str = "listing_id") -> DataFrame:
     return last.orderBy(F.col("ts_effective").asc_nulls_last(), F.col(key).asc())
 
 
-def _moment(df: DataFrame, column: str) -> Column:
-    """A date, timestamp or nanosecond column as nanoseconds."""
-    kind = dict(df.dtypes)[column]
-    if kind == "date":
-        return times.date_to_ns(F.col(column))
-    return times.from_timestamp(F.col(column)) if kind.startswith("timestamp") else F.col(column).cast("bigint")
-
-
 def master_intervals(master: DataFrame, key: str, columns: Sequence[str],
                      effective: str = "ts_effective", recorded: str = "ts_record",
                      rows_per_segment: int | None = None) -> DataFrame:
@@ -83,8 +75,8 @@ def master_intervals(master: DataFrame, key: str, columns: Sequence[str],
     value = F.struct(F.col(effective).alias("e"), F.col(recorded).alias("r"), *[F.col(c) for c in columns])
     one = master.where(F.col(effective).isNotNull() & F.col(recorded).isNotNull()).groupBy(
         key, F.greatest(effective, recorded).alias("_from")).agg(F.max(value).alias("v"))
-    one = stored(one.withColumn("_at", _moment(one, "_from")), "versions")
-    cut = sg.with_segment(one, "_at", sg.pick_width(one, [key], "_at", rows_per_segment=rows_per_segment))
+    one = stored(one.withColumn("_at", moment(one, "_from")), "versions")
+    cut = sg.segmented(one, [key], "_at", rows_per_segment)
     carry = sg.carry_in(
         cut, [key], {"_best": F.max("v"), "_next": F.min("_from")},
         {"_best": lambda c: F.max(c).over(sg.before([key])), "_next": lambda c: F.min(c).over(sg.after([key]))})
@@ -100,12 +92,7 @@ def master_as_of(df: DataFrame, master: DataFrame, key: str, ts: str, columns: S
                  effective: str = "ts_effective", recorded: str = "ts_record", rows_per_segment: int | None = None, **options) -> DataFrame:
     """``df`` with the master columns in force at ``ts``; no look-ahead."""
     spans = master_intervals(master, key, columns, effective, recorded, rows_per_segment)
-    out = lookup_join(
-        df, spans, [key],
-        lambda l, r: (F.col(f"{l}.{ts}") >= F.col(f"{r}._from"))
-        & (F.col(f"{r}._to").isNull() | (F.col(f"{l}.{ts}") < F.col(f"{r}._to"))),
-        "left", derived=True, **options)
-    return out.drop("_from", "_to")
+    return span_join(df, spans, [key], ts, values=columns, rows_per_segment=rows_per_segment, **options)
 
 
 def adjustment_spans(factors: DataFrame, key: str = "security_id", ex_date: str = "ex_date",
@@ -128,10 +115,6 @@ def back_adjust(df: DataFrame, factors: DataFrame, date: Column | str, price: st
     ex-date is after the trade date."""
     spans = adjustment_spans(factors, key)
     left = df.withColumn("_day", F.col(date) if isinstance(date, str) else date)
-    out = lookup_join(
-        left, spans, [key],
-        lambda l, r: (F.col(f"{l}._day") < F.col(f"{r}._to"))
-        & (F.col(f"{r}._from").isNull() | (F.col(f"{l}._day") >= F.col(f"{r}._from"))),
-        "left", derived=True, **options)
+    out = span_join(left, spans, [key], "_day", values=["adjustment"], **options)
     factor = F.coalesce("adjustment", F.lit(1.0))
     return out.select(*df.columns, factor.alias("adjustment"), (F.col(price) * factor).alias("adjusted_price"))

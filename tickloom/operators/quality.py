@@ -20,16 +20,11 @@ LAG_RECORDS = 128
 LAG_NS = 1_000_000_000
 
 
-def _cut(df, keys, order, rows_per_segment, width, widths=sg.TIME_WIDTHS):
-    cell = width or sg.pick_width(df, keys, order, widths, rows_per_segment)
-    return sg.with_segment(df, order, cell)
-
-
 def event_ordinal(df: DataFrame, keys: Sequence[str] = ("instrument_id",), ts: str = "ts_recv",
                   sequence: str = "sequence", rows_per_segment: int | None = None,
                   width: int | None = None) -> DataFrame:
     """Adds ``event_no``: how many events of the key ended before this record."""
-    cut = _cut(df, keys, ts, rows_per_segment, width).withColumn(
+    cut = sg.segmented(df, keys, ts, rows_per_segment, width).withColumn(
         "_end", fl.has_flag(F.col("flags"), "f_last").cast("bigint"))
     carry = sg.carry_in(cut, keys, {"_done": F.sum("_end")}, {"_done": lambda c: F.sum(c).over(sg.before(keys))})
     local = F.sum("_end").over(sg.inside(keys, ts, sequence).rowsBetween(W.unboundedPreceding, -1))
@@ -42,7 +37,7 @@ def snapshot_ends(df: DataFrame, keys: Sequence[str] = ("instrument_id",), ts: s
                   sequence: str = "sequence", rows_per_segment: int | None = None,
                   width: int | None = None) -> DataFrame:
     """The first ordinary record after each run of snapshot records."""
-    cut = _cut(df, keys, ts, rows_per_segment, width).withColumn(
+    cut = sg.segmented(df, keys, ts, rows_per_segment, width).withColumn(
         "_snap", fl.has_flag(F.col("flags"), "f_snapshot"))
     order = F.struct(F.col(ts), F.col(sequence))
     carry = sg.carry_in(cut, keys, {"_prev": F.max_by("_snap", order)},
@@ -57,7 +52,7 @@ def silences(df: DataFrame, keys: Sequence[str], ts: str = "ts_recv",
              rows_per_segment: int | None = None, width: int | None = None) -> DataFrame:
     """``(keys, gap_start, gap_end, gap_ns)`` where consecutive records of a key are
     further apart than the limit."""
-    cut = _cut(df.select(*keys, ts), keys, ts, rows_per_segment, width)
+    cut = sg.segmented(df.select(*keys, ts), keys, ts, rows_per_segment, width)
     carry = sg.carry_in(cut, keys, {"_prev": F.max(ts)}, {"_prev": lambda c: F.max(c).over(sg.before(keys))})
     seen = cut.withColumn("_in", F.lag(ts).over(sg.inside(keys, ts)))
     out = sg.join_carry(seen, carry, keys).withColumn("gap_start", F.coalesce("_in", "_prev"))
@@ -70,7 +65,7 @@ def clock_faults(df: DataFrame, keys: Sequence[str] = ("publisher_id",), ts: str
                  width: int | None = None) -> DataFrame:
     """Records flagged with a bad clock or earlier than one that arrived before
     them, in arrival (``sequence``) order; ``behind_ns`` tells by how much."""
-    cut = _cut(df, keys, sequence, rows_per_segment, width, sg.COUNT_WIDTHS)
+    cut = sg.segmented(df, keys, sequence, rows_per_segment, width)
     carry = sg.carry_in(cut, keys, {"_top": F.max(ts)}, {"_top": lambda c: F.max(c).over(sg.before(keys))})
     local = F.max(ts).over(sg.inside(keys, sequence).rowsBetween(W.unboundedPreceding, -1))
     out = sg.join_carry(cut.withColumn("_in", local), carry, keys).withColumn("_max", F.greatest("_in", "_top"))
@@ -92,7 +87,7 @@ def reconnect_gaps(log: DataFrame, dataset: str = "dataset", start: str = "sessi
                    width: int | None = None) -> DataFrame:
     """Gap between a session's last record (its start when it had none) and the next
     session's start. ``log`` has one row per session."""
-    cut = _cut(log.withColumn("_end", F.coalesce(last, start)), [dataset], start, rows_per_segment, width)
+    cut = sg.segmented(log.withColumn("_end", F.coalesce(last, start)), [dataset], start, rows_per_segment, width)
     carry = sg.carry_in(cut, [dataset], {"_prev": F.max_by("_end", start)},
                         {"_prev": lambda c: F.last(c).over(sg.before([dataset]))})
     seen = cut.withColumn("_in", F.lag("_end").over(sg.inside([dataset], start)))
