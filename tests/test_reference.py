@@ -120,6 +120,12 @@ def test_publishers(spark, tmp_path):
     assert venues.add_publisher(df, pub).where("name is null").count() == 1
     with pytest.raises(Exception, match="unknown publisher id 9"):
         venues.add_publisher(df, pub, strict=True).collect()
+    shipped = venues.known_publishers(spark)
+    assert shipped.count() == shipped.select("publisher_id").distinct().count() == len(venues.shipped_rows())
+    assert shipped.where("venue is null or dataset not like '%.%' or description = ''").count() == 0
+    own = spark.createDataFrame([(1, "OWN.FEED.MINE", "MINE", "OWN.FEED", "ours"), (9_000, "OWN.FEED.MORE", "MORE", "OWN.FEED", "ours")], shipped.schema)
+    both = {r["publisher_id"]: r["venue"] for r in venues.known_publishers(spark, own).collect()}
+    assert (both[1], both[9_000], both[2], len(both)) == ("MINE", "MORE", "XNAS", shipped.count() + 1)
 
 
 def test_metadata_differences(spark):

@@ -98,6 +98,26 @@ def publisher_list(spark, sf):
     return catalog.publishers(views.venues(spark, sf))
 
 
+_SHIPPED = ", ".join(f"({i}, '{n}', '{d.replace(chr(39), chr(39) * 2)}')" for i, n, d in vn.shipped_rows())
+
+
+@query("publisher_names", sql("trades", f"""SELECT t.publisher_id, p.name, split_part(p.name, '.', 3) AS venue,
+  split_part(p.name, '.', 1) || '.' || split_part(p.name, '.', 2) AS dataset, p.description, CAST(count(*) AS BIGINT) AS n
+  FROM trades t LEFT JOIN (VALUES {_SHIPPED}) p(publisher_id, name, description) USING (publisher_id) GROUP BY ALL"""))
+def publisher_names(spark, sf):
+    """Trades by the feed that published them."""
+    out = vn.add_publisher(views.trades(spark, sf), vn.known_publishers(spark))
+    return out.groupBy("publisher_id", "name", "venue", "dataset", "description").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("venue_ids", f"""SELECT venue, CAST(row_number() OVER (ORDER BY f) AS INTEGER) AS code FROM (SELECT split_part(name, '.', 3) AS venue,
+  min(id) AS f FROM (VALUES {_SHIPPED}) p(id, name, description) WHERE id IN (SELECT l_suppkey % 142 + 1 FROM lineitem) GROUP BY 1)""")
+def venue_ids(spark, sf):
+    """Codes of the venues that the trades come from."""
+    met = views.trades(spark, sf).select("publisher_id").distinct()
+    return vn.code_table(vn.known_publishers(spark).join(met, "publisher_id", "left_semi"), "venue")
+
+
 @query("publisher_lookup", sql("trades venues", """SELECT t.publisher_id, v.name, v.venue, v.dataset,
   CAST(count(*) AS BIGINT) AS n FROM trades t LEFT JOIN venues v USING (publisher_id) GROUP BY ALL"""))
 def publisher_lookup(spark, sf):
