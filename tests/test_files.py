@@ -191,8 +191,8 @@ def test_export_splits_and_verifies(spark, tmp_path):
     with pytest.raises(ValueError, match="list of symbols"):
         export.export(df, path, trades, split_symbols=True)
     with pytest.raises(ValueError):
-        export.records_per_file(5, 64)
-    assert export.records_per_file(2_000_000_000, 64) == 31_250_000
+        export.checked_size(5)
+    assert export.checked_size(2_000_000_000) == 2_000_000_000
     manifest = export.manifest_of(spark, path)
     local = {f"{p.relative_to(path)}": hashlib.sha256(p.read_bytes()).hexdigest() for p in (tmp_path / "x").rglob("part-*")}
     got = {r["filename"]: r["hash"] for r in manifest.where("filename like '%part-%'").collect()}
@@ -209,6 +209,58 @@ def test_export_splits_and_verifies(spark, tmp_path):
     assert {r["status"] for r in export.verify(spark, md5, path).collect()} == {"unchecked"}
 
 
+@pytest.mark.parametrize("encoding", ["csv", "json", "parquet"])
+def test_files_keep_to_their_size(spark, tmp_path, encoding, monkeypatch):
+    """Rows of unlike length; every file is within the bound and holds a run of times."""
+    monkeypatch.setattr(export, "MIN_SPLIT", 2_000)
+    trades, day = layout("trades"), 86_400 * 10**9
+    data = [(1609113600000000000 + i * day // 300, i, 0, 1, 10 ** (i % 12), "T", "A", 0, 10 ** (i % 17), i % 7, 0, 0, i) for i in range(900)]
+    df = spark.createDataFrame(data, trades.struct).repartition(5)
+    path = str(tmp_path / "x")
+    export.export(df, path, trades, encoding, split_size=3_000, map_symbols=False)
+    found = sorted((tmp_path / "x").rglob(f"*.{'json' if encoding == 'none' else {'csv': 'csv', 'json': 'txt', 'parquet': 'parquet'}[encoding]}"))
+    assert len(found) > 20
+    if encoding != "parquet":
+        assert max(f.stat().st_size for f in found) <= 3_000 and sorted(f.stat().st_size for f in found)[len(found) // 2] > 2_000
+    read = spark.read.option("header", True)
+    back = read.text(path) if encoding == "json" else getattr(read, encoding)(path)
+    assert back.count() == 900
+    if encoding == "csv":
+        runs = back.groupBy("split", "file").agg(F.min(F.col("ts_recv").cast("long")).alias("a"), F.max(F.col("ts_recv").cast("long")).alias("b")).orderBy("a").collect()
+        assert all(x["b"] < y["a"] for x, y in zip(runs, runs[1:]))
+
+
+def test_a_long_split_is_measured_in_segments(spark):
+    df = spark.range(2_000).select(F.lit("all").alias("split"), F.col("id").alias("t"), (F.col("id") % 90 + 10).alias("n"))
+    made = export.file_numbers(df, ["split"], ["t"], F.col("n"), 1_000, rows_per_segment=100)
+    sums = made.groupBy("file").agg(F.sum("n").alias("n"), F.min("t").alias("a"), F.max("t").alias("b")).orderBy("file").collect()
+    assert max(r["n"] for r in sums) <= 1_000 and all(x["b"] + 1 == y["a"] for x, y in zip(sums, sums[1:]))
+    long = export.file_numbers(df.withColumn("n", F.when(F.col("t") == 7, 5_000).otherwise(F.col("n"))), ["split"], ["t"], F.col("n"), 1_000)
+    assert long.groupBy("file").agg(F.sum("n").alias("n")).where("n > 1000").count() <= 1
+
+
+def test_listed_symbols_are_resolved_for_parquet_too(spark, tmp_path, intervals):
+    df = rows(spark, MBP1, MBP1_ROW)
+    name = formatting.table(df, MBP1, intervals=intervals).first()["symbol"]
+    export.export(df, str(tmp_path / "one"), MBP1, symbols=f"{name},OTHER", intervals=intervals)
+    back = spark.read.parquet(str(tmp_path / "one"))
+    assert back.count() == 1 and "symbol" not in back.columns
+    export.export(df, str(tmp_path / "none"), MBP1, symbols="OTHER,MORE", intervals=intervals)
+    assert not list((tmp_path / "none").rglob("*.parquet"))
+
+
+def test_damaged_csv_follows_its_header(spark, tmp_path):
+    names, values = list(MBO.columns)[::-1], MBO_ROW.split(",")[::-1]
+    (tmp_path / "x.csv").write_text(",".join(names) + "\n" + ",".join(values) + "\n" + ",".join(values)[:40] + "\n")
+    good, bad = records.read_damaged(spark, str(tmp_path), MBO, "csv")
+    plain = rows(spark, MBO, MBO_ROW)
+    assert good.columns == list(MBO.columns) and bad.count() == 1
+    assert [tuple(r) for r in good.collect()] == [tuple(r) for r in plain.collect()]
+    (tmp_path / "x.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="lacks"):
+        records.read_damaged(spark, str(tmp_path), MBO, "csv")
+
+
 def test_json_export(spark, tmp_path):
     trades = layout("trades")
     df = spark.createDataFrame([(1609113600000000000, 1, 0, 1, 5, "T", "A", 0, 10**9, 1, 0, 0, 1)], trades.struct)

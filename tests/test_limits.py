@@ -61,7 +61,11 @@ def test_a_later_document_wins(spark):
         ("raw_symbol", "instrument_id", {"A": [("2024-01-01", "2024-06-01", "7")]}),
         ("raw_symbol", "instrument_id", {"B": [("2024-01-01", "2024-03-01", "7")]})],
         f"stype_in string, stype_out string, result map<string,{entry}>").coalesce(1)
-    got = {r["symbol"]: r["seq"] for r in source.from_response(docs).collect()}
+    with pytest.raises(ValueError, match="order"):
+        source.from_response(docs)
+    told = docs.withColumn("document_time", F.lit("2024-01-01 00:00:00.0004").cast("timestamp")).withColumn(
+        "document_name", F.when(F.array_contains(F.map_keys("result"), "A"), "1.json").otherwise("2.json"))
+    got = {r["symbol"]: r["seq"] for r in source.from_response(told).collect()}
     assert got["A"] < got["B"]
     far = {r["symbol"]: r["seq"] for r in source.from_response(docs, F.when(F.col("result").isNotNull(), F.lit(2**62))).collect()}
     assert far["A"] > 2**120

@@ -132,3 +132,34 @@ def test_a_bounded_snapshot_comes_once_and_first(spark, tmp_path):
     # without a stream's name for it the snapshot is one of its own
     once = sources.subscribe(feed(spark, src), "mbo", snapshot=True, state=snapshot)
     assert sinks.drain(spark, once).groupBy(F.col("flags") == 40).count().orderBy("count").collect()[1][1] == 7
+
+
+def test_one_read_feeds_many_sinks(spark, tmp_path):
+    """A fault in one of three sinks: the others go on, and a restart repeats that one alone."""
+    src, a, b, mark = (str(tmp_path / x) for x in ("src", "a", "b", "mark"))
+    for k in range(3):
+        append(spark, src, [row(1, i, 10 * k + i) for i in range(10)])
+    seen, broken = [], [True]
+
+    def third(batch, number):
+        if number == 1 and broken[0]:
+            raise OSError("full")
+        seen.append((number, batch.count()))
+
+    def start():
+        return sinks.fan_out_once(feed(spark, src, max_files=1), {"a": a, "b": b, "third": third}, mark)
+
+    query = start()
+    with pytest.raises(Exception, match="third"):
+        query.awaitTermination()
+    assert seen == [(0, 10)] and {r["batch"] for r in spark.read.parquet(a).collect()} == {0, 1}
+    before = sorted(p.name for p in (tmp_path / "a" / "batch=1").iterdir())
+    broken[0] = False
+    query = start()
+    query.awaitTermination()
+    assert seen == [(0, 10), (1, 10), (2, 10)]
+    assert sorted(p.name for p in (tmp_path / "a" / "batch=1").iterdir()) == before
+    for path in (a, b):
+        assert sorted(r["sequence"] for r in spark.read.parquet(path).collect()) == sorted(10 * k + i for k in range(3) for i in range(10))
+    # three sinks, and the source is read once for each batch
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [10, 10]

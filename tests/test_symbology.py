@@ -1,6 +1,8 @@
 """Symbol resolution against a plain per-row reading of the rule."""
 
 import datetime as dt
+import json
+import os
 import random
 
 import pytest
@@ -160,9 +162,49 @@ def test_json_annotation(spark):
         files.map_json(spark.createDataFrame([("{}",)], "value string"), intervals).collect()
 
 
+def test_only_the_top_level_symbol_is_set(spark):
+    intervals = spark.createDataFrame([(7, dt.date(2020, 12, 28), dt.date(2020, 12, 30), 'N"1', 0)], INTERVALS)
+    head = '"hd":{"symbol":"inner","ts_event":"1609113600000000000","instrument_id":7}'
+    lines = [('{%s,"x":1.5,"symbol":"old","levels":[{"symbol":2}],"t":"a\\"b"}' % head, '{%s,"x":1.5,"symbol":"N\\"1","levels":[{"symbol":2}],"t":"a\\"b"}' % head),
+             ('{%s}' % head, '{%s,"symbol":"N\\"1"}' % head),
+             ('{"symbol":{"a":1},"hd":{"ts_event":"1609113600000000000","instrument_id":7}}', '{"symbol":"N\\"1","hd":{"instrument_id":7,"ts_event":"1609113600000000000"}}')]
+    got = [json.loads(r["value"]) for r in files.map_json(spark.createDataFrame([x[:1] for x in lines], "value string"), intervals).collect()]
+    told = lambda rows: sorted(json.dumps(r, sort_keys=True) for r in rows)
+    assert told(got) == told(json.loads(b) for _, b in lines)
+
+
+def test_file_to_file(spark, tmp_path):
+    (tmp_path / "symbology.json").write_text(RESPONSE)
+    table, csv, lines = (str(tmp_path / x) for x in ("symbology.json", "r.csv", "r.json"))
+    (tmp_path / "r.csv").write_text("ts_event,instrument_id,note\n1609113600000000000,5482,a\n2020-12-29T01:00:00Z,5482,\n")
+    (tmp_path / "r.json").write_text('{"hd":{"ts_event":"1609113600000000000","instrument_id":5482}}\n')
+    out = files.map_csv_file(spark, table, csv)
+    assert out == str(tmp_path / "r_mapped.csv") and files.map_csv_file(spark, table, csv) == str(tmp_path / "r_mapped_0.csv")
+    assert sorted((r["ts_event"], r["symbol"]) for r in spark.read.option("header", True).csv(out).collect()) == [
+        ("1609113600000000000", "ESH1"), ("2020-12-29T01:00:00Z", None)]
+    assert spark.read.text(files.map_json_file(spark, table, lines)).first()[0].endswith('"symbol":"ESH1"}')
+    with pytest.raises(ValueError, match="does not exist"):
+        files.map_csv_file(spark, table, csv + "x")
+    with pytest.raises(ValueError, match="must not be"):
+        files.map_json_file(spark, table, lines, lines)
+    with pytest.raises(ValueError, match="instrument_id"):
+        files.map_csv_file(spark, table, table)
+
+
+def test_a_newer_small_document_beats_an_older_large_one(spark, tmp_path):
+    big = RESPONSE.replace('"symbols":["ESH1"]', '"symbols":[%s]' % ",".join('"X%d"' % i for i in range(5_000))).replace("ESH1", "OLD")
+    (tmp_path / "a.json").write_text(RESPONSE.replace("ESH1", "NEW"))
+    (tmp_path / "b.json").write_text(big)
+    (tmp_path / "c.json").write_text(RESPONSE.replace("ESH1", "SAME"))
+    for name, at in (("a.json", 1_700_000_100), ("b.json", 1_700_000_000), ("c.json", 1_700_000_000)):
+        os.utime(tmp_path / name, (at, at))
+    rows = source.from_response(source.read_response(spark, str(tmp_path))).orderBy("seq").collect()
+    assert [r["symbol"] for r in rows] == ["OLD", "SAME", "NEW"]
+
+
 def test_mapped_path():
     assert files.mapped_path("/a/b.csv") == "/a/b_mapped.csv"
-    assert files.mapped_path("/a/b.csv", {"/a/b_mapped.csv"}) == "/a/b_mapped_1.csv"
+    assert files.mapped_path("/a/b.csv", {"/a/b_mapped.csv"}) == "/a/b_mapped_0.csv"
     assert files.mapped_path("/a.b/c") == "/a.b/c_mapped"
 
 

@@ -30,9 +30,12 @@ def order_number(ts: str, sequence: str | None) -> Column:
 
 
 def ohlcv(df: DataFrame, width: str | int, keys: Sequence[str] = KEYS, ts: str = "ts_event",
-          sequence: str | None = "sequence") -> DataFrame:
+          sequence: str | None = "sequence", start: int = 0) -> DataFrame:
     """Open, high, low, close and volume per key and bucket, stamped at bucket start.
 
+    ``start`` moves all buckets, as for ``eod`` bars of sessions that don't begin at
+    midnight UTC: 22 hours for one that does at 22:00.
+
     Rows without a price are left out and empty buckets give no bar. Everything
     combines map-side, so a hot instrument costs one row per task and bucket.
     """
@@ -40,7 +43,7 @@ def ohlcv(df: DataFrame, width: str | int, keys: Sequence[str] = KEYS, ts: str =
     order = order_number(ts, sequence)
     return (
         df.where(F.col("price") != prices.UNDEF_PRICE)
-        .select(*keys, times.floor_to(F.col(ts), step).alias("bucket"), order.alias("_o"), "price", "size")
+        .select(*keys, (times.floor_to(F.col(ts) - start, step) + start).alias("bucket"), order.alias("_o"), "price", "size")
         .groupBy(*keys, "bucket")
         .agg(F.min_by("price", "_o").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
              F.max_by("price", "_o").alias("close"), F.sum("size").cast("bigint").alias("volume"))

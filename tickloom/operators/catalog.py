@@ -47,16 +47,16 @@ def dataset_condition(df: DataFrame, start, end, ts: str = "ts_recv") -> DataFra
     record may have a bad book) or ``missing``."""
     low, high = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
     day = times.utc_date(F.col(ts))
-    daily = (
-        df.groupBy("dataset", day.alias("date"))
-        .agg(F.count(F.lit(1)).alias("records"),
-             F.max(fl.has_flag(F.col("flags"), "f_maybe_bad_book")).alias("bad"))
-        .where(F.col("date").between(low, high))
-    )
-    calendar = df.select("dataset").distinct().select("dataset", F.explode(F.sequence(low, high)).alias("date"))
-    return calendar.join(daily, ["dataset", "date"], "left").select(
-        "dataset", "date", F.coalesce("records", F.lit(0)).alias("records"),
-        F.when(F.col("records").isNull(), "missing").when(F.col("bad"), "degraded")
+    # one pass: records outside the range stand together, for the names of their datasets
+    daily = df.groupBy("dataset", F.when(day.between(low, high), day).alias("date")).agg(
+        F.count(F.lit(1)).alias("records"), F.max(fl.has_flag(F.col("flags"), "f_maybe_bad_book")).alias("bad"))
+    held = daily.groupBy("dataset").agg(F.map_from_entries(F.collect_list(F.when(
+        F.col("date").isNotNull(), F.struct("date", F.struct("records", "bad"))))).alias("days"))
+    each = held.select("dataset", "days", F.explode(F.sequence(low, high)).alias("date"))
+    found = F.try_element_at("days", F.col("date"))
+    return each.select(
+        "dataset", "date", F.coalesce(found["records"], F.lit(0)).alias("records"),
+        F.when(found.isNull(), "missing").when(found["bad"], "degraded")
         .otherwise("available").alias("condition"))
 
 

@@ -21,7 +21,8 @@ BROADCAST_BYTES = 64 << 20
 ROWS_PER_TASK = 10_000_000
 
 
-def _row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame) -> Column:
+    """Rough bytes of a row in memory."""
     total = F.lit(16)
     for f in df.schema.fields:
         if isinstance(f.dataType, T.StringType | T.BinaryType):
@@ -35,12 +36,12 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def measured_bytes(df: DataFrame) -> int:
     """Rough in-memory size from one map-side-combined aggregate."""
-    return df.agg(F.sum(_row_bytes(df).cast("bigint"))).first()[0] or 0
+    return df.agg(F.sum(row_bytes(df).cast("bigint"))).first()[0] or 0
 
 
 def measured(df: DataFrame, key: str) -> tuple[int, int]:
     """Rough size, and the number of rows of the largest key."""
-    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df).cast("bigint")).alias("b"))
+    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df).cast("bigint")).alias("b"))
     row = per.agg(F.sum("b"), F.max("n")).first()
     return row[0] or 0, row[1] or 0
 

@@ -32,6 +32,15 @@ def bars_eod(spark, sf):
     return bars.ohlcv(views.ticks(spark, sf), "eod")
 
 
+@query("bars_session", sql("ticks", f"""SELECT ts_event - (ts_event - {22 * times.HOUR}) % {times.DAY} AS ts_event, publisher_id, instrument_id,
+  arg_min(price, row(ts_event, sequence)) AS open, max(price) AS high, min(price) AS low,
+  arg_max(price, row(ts_event, sequence)) AS close, CAST(sum(size) AS BIGINT) AS volume
+  FROM ticks WHERE price <> {_UNDEF} GROUP BY ALL"""))
+def bars_session(spark, sf):
+    """Bars of trading days that begin at 22:00 UTC of the day before."""
+    return bars.ohlcv(views.ticks(spark, sf), "eod", start=22 * times.HOUR)
+
+
 @query("quote_samples", sql("ticks", """SELECT ts_recv - ts_recv % 60000000000 + 60000000000 AS ts_recv, publisher_id,
   instrument_id, arg_max(bid_px_00, row(ts_recv, sequence)) AS bid_px_00, arg_max(ask_px_00, row(ts_recv, sequence)) AS ask_px_00,
   arg_max(bid_sz_00, row(ts_recv, sequence)) AS bid_sz_00, arg_max(ask_sz_00, row(ts_recv, sequence)) AS ask_sz_00

@@ -134,3 +134,18 @@ def stream_snapshot(spark, sf):
     held = views.ticks(spark, sf).where("sequence < 500")
     out = sources.subscribe(live, "mbo", snapshot=True, state=held)
     return sinks.drain(spark, out.select("sequence", "flags"))
+
+
+@query("stream_fan_out", sql("ticks", """SELECT 'trades' AS sink, sequence FROM ticks WHERE rtype = 0
+  UNION ALL SELECT 'quotes', sequence FROM ticks WHERE rtype = 1 UNION ALL SELECT 'all', sequence FROM ticks"""))
+def stream_fan_out(spark, sf):
+    """Three sinks of one reading; each keeps what concerns it."""
+    all_, quotes, trades, mark = (shared_dir(spark, x) for x in ("all", "quotes", "trades", "mark"))
+
+    def part(path, rtype):
+        return lambda batch, n: batch.where(F.col("rtype") == rtype).write.mode("overwrite").parquet(f"{path}/batch={n}")
+
+    s = tick_stream(spark, sf).select("sequence", "rtype")
+    sinks.fan_out_once(s, {"all": all_, "quotes": part(quotes, 1), "trades": part(trades, 0)}, mark).awaitTermination()
+    read = lambda name, path: spark.read.schema(s.schema).parquet(path).select(F.lit(name).alias("sink"), "sequence")
+    return read("all", all_).unionByName(read("quotes", quotes)).unionByName(read("trades", trades))

@@ -109,8 +109,8 @@ def inserted_intervals(spark, sf):
 
 
 def _mappings(spark, sf, start, end, out):
-    """Intervals grouped to one document per symbol and instrument. A list holds at
-    most one entry per day."""
+    """Intervals grouped to one document per symbol and instrument; their order is of no
+    account here. A list holds at most one entry per day."""
     i = views.intervals(spark, sf)
     entry = F.struct(F.col("start_date").cast("string").alias(start), F.col("end_date").cast("string").alias(end),
                      F.col("instrument_id").cast("string").alias(out))
@@ -125,13 +125,25 @@ INTERVAL_ROWS = sql("intervals", "SELECT instrument_id, start_date, end_date, sy
 @query("response_intervals", INTERVAL_ROWS)
 def response_intervals(spark, sf):
     docs = _mappings(spark, sf, "d0", "d1", "s").withColumnRenamed("m", "result")
-    return source.from_response(docs).select("instrument_id", "start_date", "end_date", "symbol")
+    return source.from_response(docs, F.lit(0)).select("instrument_id", "start_date", "end_date", "symbol")
+
+
+@query("later_documents", sql("intervals", """SELECT instrument_id, min(start_date) AS start_date, max(end_date) AS end_date,
+  arg_max(symbol, row(instrument_id % 97, symbol)) AS symbol FROM (SELECT instrument_id, DATE '2020-01-01' AS start_date,
+  DATE '2021-01-01' AS end_date, symbol FROM intervals WHERE seq = 0) GROUP BY 1"""))
+def later_documents(spark, sf):
+    """Documents that speak of one span: the one whose file came last decides."""
+    entry = F.struct(F.lit("2020-01-01").alias("d0"), F.lit("2021-01-01").alias("d1"), F.col("instrument_id").cast("string").alias("s"))
+    docs = views.intervals(spark, sf).where("seq = 0").select(
+        F.create_map("symbol", F.array(entry)).alias("result"), F.lit("raw_symbol").alias("stype_in"), F.lit("instrument_id").alias("stype_out"),
+        F.timestamp_seconds(F.pmod("instrument_id", F.lit(97))).alias("document_time"), F.col("symbol").alias("document_name"))
+    return symbology.normal_intervals(source.from_response(docs)).select("instrument_id", "start_date", "end_date", "symbol")
 
 
 @query("metadata_intervals", INTERVAL_ROWS)
 def metadata_intervals(spark, sf):
     docs = _mappings(spark, sf, "start_date", "end_date", "symbol").withColumnRenamed("m", "mappings")
-    return source.from_metadata(docs).select("instrument_id", "start_date", "end_date", "symbol")
+    return source.from_metadata(docs, F.lit(0)).select("instrument_id", "start_date", "end_date", "symbol")
 
 
 def messages_of(ticks):

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.functions import text as tx
 from tickloom.functions import times
 from tickloom.functions.domains import SPLIT_DURATION, member
+from tickloom.operators import segments as sg
 from tickloom.operators import symbology
 from tickloom.operators.filters import first_records
+from tickloom.operators.joins import row_bytes
 from tickloom.schemas import Layout, index_column
 from tickloom.sinks import files
 
@@ -35,32 +38,64 @@ def split_key(ns: Column, duration: str) -> Column:
     return F.lit("all") if start is None else F.date_format(start, "yyyyMMdd")
 
 
-def records_per_file(split_size: int | None, record_bytes: int) -> int:
-    """``maxRecordsPerFile`` for a split size; 0 means no bound."""
-    if split_size is None:
-        return 0
-    if not MIN_SPLIT <= split_size <= MAX_SPLIT:
+def checked_size(split_size: int | None) -> int | None:
+    if split_size is not None and not MIN_SPLIT <= split_size <= MAX_SPLIT:
         raise ValueError(f"split_size must be in {MIN_SPLIT}..{MAX_SPLIT}")
-    return max(1, split_size // record_bytes)
+    return split_size
+
+
+def file_numbers(df: DataFrame, parts: Sequence[str], order: Sequence[str], size: Column, bound: int,
+                 rows_per_segment: int | None = None) -> DataFrame:
+    """Adds ``file``: rows of each split in the order of ``order`` (numbers, the first one
+    a time), cut so that the ``size`` of no file is above ``bound`` bytes.
+
+    Sizes are added up inside segments and over the segments of a split, so a split of
+    any length spreads over tasks. A file ends early enough to leave room for the longest
+    row; only a row that is longer than the bound itself has a larger file, of its own.
+    """
+    sized = df.withColumn("_bytes", size.cast("bigint"))
+    longest = min(sized.agg(F.max("_bytes")).first()[0] or 0, bound - 1)
+    cut = sg.segmented(sized, parts, order[0], rows_per_segment)
+    carry = sg.carry_in(cut, parts, {"_before": F.sum("_bytes")}, {"_before": lambda c: F.sum(c).over(sg.before(parts))})
+    inner = F.sum("_bytes").over(sg.inside(parts, *order).rowsBetween(W.unboundedPreceding, -1))
+    joined = sg.join_carry(cut.withColumn("_in", inner), carry, parts)
+    start = F.coalesce("_before", F.lit(0)) + F.coalesce("_in", F.lit(0))
+    return joined.select(*df.columns, F.call_function("div", start, F.lit(bound - longest)).alias("file"))
+
+
+def written_bytes(df: DataFrame, shown: Sequence[str], encoding: str) -> Column:
+    """Bytes of a row in a file, with its line end; Parquet counts as it is in memory."""
+    if encoding == "csv":
+        return F.octet_length(F.to_csv(F.struct(*shown), {"emptyValue": "", "nullValue": "", "quoteAll": "false"})) + 1
+    if encoding == "json":
+        return F.octet_length("value") + 1
+    return row_bytes(df.select(*shown))
+
+
+def header_bytes(shown: Sequence[str], encoding: str) -> int:
+    return len(",".join(shown).encode()) + 1 if encoding == "csv" else 0
 
 
 def export(
     df: DataFrame, path: str, layout: Layout, encoding: str = "parquet", symbols=None,
     split_symbols: bool = False, split_duration: str = "day", split_size: int | None = None,
-    record_bytes: int = 64, map_symbols: bool | None = None, intervals: DataFrame | None = None,
+    map_symbols: bool | None = None, intervals: DataFrame | None = None,
     pretty_px: bool = False, pretty_ts: bool = False, limit: int | None = None,
     compression: str | None = None, mode: str = "x",
 ) -> None:
     """Files partitioned by symbol and time, sorted by time inside.
 
     Rows are range-partitioned by the split and the time, so a symbol and day with
-    most of the rows still spreads over many tasks.
+    most of the rows still spreads over many tasks. With ``split_size`` they are cut into
+    files of at most so many bytes, as they are before compression, measured row by row;
+    the number of the file is one more partition column.
     """
+    checked_size(split_size)
     everything = tx.normal_symbols(symbols) == [tx.ALL_SYMBOLS]
     if split_symbols and everything:
         raise ValueError("split_symbols needs a list of symbols")
     mapped = encoding in ("csv", "json") if map_symbols is None else map_symbols
-    if (mapped or split_symbols) and "symbol" not in df.columns:
+    if (mapped or split_symbols or not everything) and "symbol" not in df.columns:
         if intervals is None:
             raise ValueError("symbols need an interval table")
         df = symbology.add_symbol(df, intervals)
@@ -76,16 +111,23 @@ def export(
         parts = ["split_symbol", "split"]
     if not mapped and "symbol" in df.columns:
         df = df.drop("symbol")
-    df = df.repartitionByRange(*parts, index).sortWithinPartitions(*parts, index)
+    ties = [c for c in ("publisher_id", "instrument_id", "sequence") if c in df.columns]
+    order = [f"_order_{i}" for i in range(1 + len(ties))]
+    df = df.withColumns({o: F.col(c).cast("bigint") for o, c in zip(order, [index, *ties])})
+    keep = [*parts, *order]
     if encoding == "csv":
-        df = files.csv_columns(df, layout, pretty_px, pretty_ts, keep=parts)
+        df = files.csv_columns(df, layout, pretty_px, pretty_ts, keep=keep)
     elif encoding == "json":
-        shown = files.json_columns(df, layout, pretty_px, pretty_ts, keep=parts)
-        df = files.json_lines(shown, keep=parts)
+        df = files.json_lines(files.json_columns(df, layout, pretty_px, pretty_ts, keep=keep), keep=keep)
+    shown = [c for c in df.columns if c not in keep]
+    if split_size is None:
+        df = df.repartitionByRange(*parts, *order)
+    else:
+        df = file_numbers(df, parts, order, written_bytes(df, shown, encoding), split_size - header_bytes(shown, encoding))
+        parts = [*parts, "file"]
+        df = df.repartition(*parts)
+    df = df.sortWithinPartitions(*parts, *order).drop(*order)
     writer = df.write.mode(files.save_mode(mode)).partitionBy(*parts)
-    bound = records_per_file(split_size, record_bytes)
-    if bound:
-        writer = writer.option("maxRecordsPerFile", bound)
     if encoding == "parquet":
         writer.option("compression", compression or "zstd").parquet(path)
     elif encoding == "csv":

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import prices, times
 from tickloom.operators import formatting, symbology
 from tickloom.schemas import HEADER_FIELDS, Layout, index_column
+from tickloom.sources.symbology import from_response, read_response
 
 MODES = {"w": "overwrite", "x": "errorifexists"}
 # zstd text output is not part of Spark, so text is gzipped where compression is asked for
@@ -101,17 +102,53 @@ def write_json(df: DataFrame, path: str, layout: Layout, pretty_px: bool = True,
 
 
 def mapped_path(path: str, taken=()) -> str:
-    """``name_mapped.ext``, numbered when taken."""
+    """``name_mapped.ext``, numbered from 0 when taken. ``taken`` holds paths or tells of
+    one whether it is there."""
+    there = taken if callable(taken) else lambda p: p in taken
     stem, dot, ext = path.rpartition(".")
     if not dot or "/" in ext:
         stem, dot, ext = path, "", ""
     out, i = f"{stem}_mapped{dot}{ext}", 0
-    while out in taken:
-        i += 1
-        out = f"{stem}_mapped_{i}{dot}{ext}"
+    while there(out):
+        out, i = f"{stem}_mapped_{i}{dot}{ext}", i + 1
     return out
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system that Spark knows."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _path_pair(spark: SparkSession, source: str, out: str | None) -> str:
+    if not path_exists(spark, source):
+        raise ValueError(f"{source} does not exist")
+    target = out or mapped_path(source, lambda p: path_exists(spark, p))
+    if target.rstrip("/") == source.rstrip("/"):
+        raise ValueError("the output must not be the input")
+    return target
+
+
+def map_csv_file(spark: SparkSession, symbology_path: str, path: str, out: str | None = None) -> str:
+    """CSV records with the symbols that a symbology document gives them, written to
+    ``out`` or beside the input. Returns where."""
+    target = _path_pair(spark, path, out)
+    table = from_response(read_response(spark, symbology_path))
+    text = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    if "instrument_id" not in text.columns or not {"ts_recv", "ts_event"} & set(text.columns):
+        raise ValueError(f"{path} needs instrument_id and ts_recv or ts_event")
+    map_csv(text, table).write.option("header", True).option("emptyValue", "").mode("errorifexists").csv(target)
+    return target
+
+
+def map_json_file(spark: SparkSession, symbology_path: str, path: str, out: str | None = None) -> str:
+    """JSON-lines records with their symbols, as above."""
+    target = _path_pair(spark, path, out)
+    table = from_response(read_response(spark, symbology_path))
+    map_json(spark.read.text(path), table).write.mode("errorifexists").text(target)
+    return target
+
+
 def map_csv(df: DataFrame, intervals: DataFrame) -> DataFrame:
     """Any CSV records with their symbol appended. Text of the other columns stays as
     it was read; only the index time and id are parsed."""
@@ -134,7 +171,15 @@ def map_json(lines: DataFrame, intervals: DataFrame) -> DataFrame:
         F.regexp_extract(F.to_json(F.struct("symbol")), r'^\{"symbol":(.*)\}$', 1))
     tight = F.regexp_replace(doc, r'("(?:[^"\\]|\\.)*+")|\s+', "$1")
     exact = F.regexp_replace(tail, r"([\\$])", r"\\$1")  # as a replacement text
-    replaced = F.regexp_replace(tight, F.lit(r'([{,]"symbol":)(?:"(?:[^"\\]|\\.)*+"|[^,}]*+)'), F.concat(F.lit("$1"), exact))
+    place = r'([{,]"symbol":)(?:"(?:[^"\\]|\\.)*+"|[^,}]*+)'
+    replaced = F.regexp_replace(tight, F.lit(place), F.concat(F.lit("$1"), exact))
+    # where the name occurs on other levels too, or holds an object, the members are told apart by parsing
+    held = F.from_json(doc, "map<string,variant>")
+    members = F.transform(F.json_object_keys(doc), lambda k: F.concat(
+        F.regexp_extract(F.to_json(F.struct(k.alias("k"))), r'^\{"k":(.*)\}$', 1), F.lit(":"),
+        F.when(k == "symbol", tail).otherwise(F.to_json(F.element_at(held, k)))))
+    rebuilt = F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+    several = (F.regexp_count(tight, F.lit(place)) > 1) | tight.rlike(r'[{,]"symbol":[\[{]')
     added = F.concat(F.regexp_replace(tight, r"\}$", ""), F.lit(',"symbol":'), tail, F.lit("}"))
     known = F.coalesce(F.array_contains(F.json_object_keys(doc), "symbol"), F.lit(False))
-    return out.select(F.when(known, replaced).otherwise(added).alias("value"))
+    return out.select(F.when(known & several, rebuilt).when(known, replaced).otherwise(added).alias("value"))

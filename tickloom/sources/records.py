@@ -119,11 +119,15 @@ def read_damaged(spark: SparkSession, path, layout: Layout, fmt: str = "json") -
         return parse_lines(_load(spark.read, "text", path, layout.name), layout)
     if fmt != "csv":
         raise ValueError("fmt must be json or csv")
-    lines = _load(spark.read, "text", path, layout.name).where(F.col("value") != ",".join(layout.columns))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in layout.struct.fields)
+    # columns are where the header says; the files of one call share their header
+    header = _load(spark.read.option("header", True), "csv", path, layout.name).columns
+    if lacking := [c for c in layout.columns if c not in header]:
+        raise ValueError(f"{path} has no {layout.name} records: lacks {lacking}")
+    lines = _load(spark.read, "text", path, layout.name).where(F.col("value") != ",".join(header))
+    kinds = [layout.struct[c].dataType.simpleString() if c in layout.columns else "string" for c in header]
+    schema = ", ".join(f"`{c}` {k}" for c, k in zip(header, kinds))
     parsed = lines.select("value", F.from_csv(
-        "value", f"{schema}, {CORRUPT} string",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("j"))
+        "value", f"{schema}, {CORRUPT} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("j"))
     good = parsed.where(F.col(f"j.{CORRUPT}").isNull()).select(*[f"j.{c}" for c in layout.columns])
     return good, parsed.where(F.col(f"j.{CORRUPT}").isNotNull()).select(F.col("value").alias(CORRUPT))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.functions import text as tx
@@ -18,6 +19,8 @@ RESPONSE_SCHEMA = (
     "stype_in string, stype_out string, start_date string, end_date string, partial array<string>, "
     "not_found array<string>, message string, status int"
 )
+#: What tells the order of documents.
+DOCUMENT = ("document_time", "document_name")
 METADATA_SCHEMA = (
     "stype_in string, stype_out string, "
     "mappings map<string, array<struct<start_date: string, end_date: string, symbol: string>>>"
@@ -25,14 +28,31 @@ METADATA_SCHEMA = (
 
 
 def read_response(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Resolve responses, one JSON document per file. A missing key is an error."""
-    raw = spark.read.text(path, wholetext=True)
+    """Resolve responses, one JSON document per file, with the time and name of its file.
+    A missing key is an error."""
+    raw = spark.read.text(path, wholetext=True).select(
+        "value", F.col("_metadata.file_modification_time").alias("document_time"),
+        F.col("_metadata.file_name").alias("document_name"))
     doc = F.col("value")
     lacking = F.array_compact(F.array(*[
         F.when(~F.array_contains(F.json_object_keys(doc), k), F.lit(k)) for k in RESPONSE_KEYS]))
     checked = F.when(F.size(lacking) > 0, F.raise_error(F.concat(
         F.lit("symbology JSON lacks: "), F.array_join(lacking, ", "))).cast("string")).otherwise(doc)
-    return raw.select(F.from_json(checked, RESPONSE_SCHEMA, {"mode": "FAILFAST"}).alias("j")).select("j.*")
+    return raw.select(F.from_json(checked, RESPONSE_SCHEMA, {"mode": "FAILFAST"}).alias("j"), *DOCUMENT).select("j.*", *DOCUMENT)
+
+
+def inserted_order(documents: DataFrame) -> Column:
+    """The order in which documents count: by the time of their files, then by name. It
+    doesn't follow the scan, which reads large files first.
+
+    Milliseconds leave room for a million files of one time; their ranks are taken among
+    themselves alone.
+    """
+    if not set(DOCUMENT) <= set(documents.columns):
+        raise ValueError(f"documents need an order: give seq, or the columns {DOCUMENT}")
+    stamp = F.unix_millis("document_time")
+    rank = F.dense_rank().over(W.partitionBy(stamp).orderBy("document_time", "document_name"))
+    return stamp * 1_000_000 + rank
 
 
 def _number(text: Column) -> Column:
@@ -63,14 +83,16 @@ def _intervals(df: DataFrame, mapping: str, start: str, end: str, symbol: str, s
 
 
 def from_response(responses: DataFrame, seq: Column | None = None) -> DataFrame:
-    """Intervals of responses. ``seq`` orders the documents; without it they count in
-    the order they are read, so a later document wins over an earlier one."""
-    return _intervals(responses, "result", "d0", "d1", "s", F.monotonically_increasing_id() if seq is None else seq)
+    """Intervals of responses. ``seq`` orders the documents, and a later one wins over an
+    earlier one; without it they count in the order of their files, as ``read_response``
+    tells it."""
+    return _intervals(responses, "result", "d0", "d1", "s", inserted_order(responses) if seq is None else seq)
 
 
 def from_metadata(manifest: DataFrame, seq: Column | None = None) -> DataFrame:
+    """Intervals of file metadata, in the order of ``seq`` or of the files, as above."""
     return _intervals(manifest, "mappings", "start_date", "end_date", "symbol",
-                      F.monotonically_increasing_id() if seq is None else seq)
+                      inserted_order(manifest) if seq is None else seq)
 
 
 def from_messages(messages: DataFrame, seq: Column) -> DataFrame:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import logging
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators import quality
 from tickloom.session import shared_dir
+from tickloom.sinks.files import path_exists
 
 log = logging.getLogger(__name__)
 # Fixed value: warnings shown per callback before they stop.
@@ -32,6 +34,50 @@ def fan_out(stream: DataFrame, paths: list[str], **options) -> list[StreamingQue
     return [to_folder(stream, p, **options) for p in paths]
 
 
+def fan_out_once(stream: DataFrame, sinks: Mapping[str, str | Callable[[DataFrame, int], None]], checkpoint: str,
+                 log_path: str | None = None, once: bool = True) -> StreamingQuery:
+    """Several sinks of one query, which reads its source once.
+
+    A sink is a folder for Parquet, or a function of a batch and its number that may be
+    run again for a batch it failed on. A folder gets a subfolder ``batch=<number>`` for each batch. What
+    is done is kept in a log by sink and batch: a folder's own success mark, and one mark
+    below ``log_path`` for functions. If a sink fails, the others take the batch all the
+    same, and then the query ends with the error; started again with its ``checkpoint`` it
+    replays that batch, only for the sinks that have not finished it.
+    """
+    spark = stream.sparkSession
+    marks = log_path or f"{checkpoint.rstrip('/')}-sinks"
+
+    def done(name: str, target, number: int) -> str:
+        folder = f"{target.rstrip('/')}/batch={number}" if isinstance(target, str) else f"{marks.rstrip('/')}/{name}/batch={number}"
+        return f"{folder}/_SUCCESS"
+
+    def deliver(batch: DataFrame, number: int) -> None:
+        waiting = {n: t for n, t in sinks.items() if not path_exists(spark, done(n, t, number))}
+        if not waiting:
+            return
+        batch.persist()
+        failed = {}
+        try:
+            for name, target in waiting.items():
+                try:
+                    if isinstance(target, str):
+                        batch.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
+                    else:
+                        target(batch, number)
+                        batch.limit(0).select(F.lit(name).alias("sink")).write.mode("overwrite").parquet(done(name, target, number).rsplit("/", 1)[0])
+                except Exception as err:  # noqa: BLE001 - one failed sink must not hold up the others
+                    log.error("sink %s failed on batch %s", name, number, exc_info=err)
+                    failed[name] = err
+        finally:
+            batch.unpersist()
+        if failed:
+            raise RuntimeError(f"batch {number}: sinks failed: {sorted(failed)}") from next(iter(failed.values()))
+
+    writer = stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def await_all(queries: list[StreamingQuery]) -> dict[str, Exception]:
     """Wait for every query; failures are returned by query id."""
     failed = {}
