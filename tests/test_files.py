@@ -261,6 +261,12 @@ def test_damaged_csv_follows_its_header(spark, tmp_path):
         records.read_damaged(spark, str(tmp_path), MBO, "csv")
 
 
+def test_every_known_layout_is_told_by_its_type(spark):
+    mixed = spark.createDataFrame([(r, i) for i, r in enumerate([0, 1, 1, 10, 32, 33, 34, 35, 36, 160, 160, 160, 21])], "rtype int, sequence bigint")
+    want = {"mbo": 3, "mbp-1": 2, "tbbo": 2, "mbp-10": 1, "trades": 1, **{f"ohlcv-{w}": 1 for w in ("1s", "1m", "1h", "1d", "eod")}}
+    assert {name: records.of_type(mixed, layout(name)).count() for name in want} == want
+
+
 def test_json_export(spark, tmp_path):
     trades = layout("trades")
     df = spark.createDataFrame([(1609113600000000000, 1, 0, 1, 5, "T", "A", 0, 10**9, 1, 0, 0, 1)], trades.struct)

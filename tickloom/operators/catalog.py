@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions import flags as fl
 from tickloom.functions import times
+from tickloom.operators.filters import time_range
 from tickloom.schemas import HEADER_FIELDS, Layout
 
 # Fixed value: bytes in the unit prices are given for.
@@ -60,13 +61,10 @@ def dataset_condition(df: DataFrame, start, end, ts: str = "ts_recv") -> DataFra
         .otherwise("available").alias("condition"))
 
 
-def datasets(df: DataFrame, start=None, end=None, ts: str = "ts_recv") -> DataFrame:
-    """Datasets with a record in ``[start, end)``."""
-    if start is not None:
-        df = df.where(F.col(ts) >= times.bound_ns(start))
-    if end is not None:
-        df = df.where(F.col(ts) < times.bound_ns(end))
-    return df.select("dataset").distinct().orderBy("dataset")
+def datasets(df: DataFrame, start=None, end=None, ts: str = "ts_recv", **stored) -> DataFrame:
+    """Datasets with a record in ``[start, end)``; ``stored`` are the options of
+    ``filters.time_range`` that bring the range to the scan."""
+    return time_range(df, start, end, ts, **stored).select("dataset").distinct().orderBy("dataset")
 
 
 def schemas_of(df: DataFrame, dataset: str) -> DataFrame:

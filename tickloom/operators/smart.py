@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.operators.joins import lookup_join
+from tickloom.operators.joins import lookup_join, stored
 
 RULES = {"c": "calendar", "v": "volume", "n": "open_interest"}
 
@@ -27,10 +27,12 @@ def ranks(stats: DataFrame, rule: str) -> DataFrame:
 
     ``stats`` has ``root, instrument_id, date, expiration, volume, open_interest``,
     one row per contract and day. A day's ranking holds from the next date up to the
-    date after the next day of statistics. Expired contracts are left out.
+    date after the next day of statistics. Expired contracts are left out. The statistics,
+    which are mostly aggregates of records, are written once, since they are read twice.
     """
     if rule not in RULES:
         raise ValueError(f"roll rule must be one of {sorted(RULES)}")
+    stats = stored(stats.select("root", "instrument_id", "date", "expiration", "volume", "open_interest"), "statistics")
     days = stats.select("root", "date").distinct()
     nxt = F.lead("date").over(W.partitionBy("root").orderBy("date"))
     days = days.select("root", "date", F.date_add("date", 1).alias("valid_from"),

@@ -3,13 +3,14 @@
 from pyspark.sql import functions as F
 
 from tickloom.functions import times
-from tickloom.operators import catalog, filters
+from tickloom.operators import catalog, filters, formatting
 from tickloom.plans import views
 from tickloom.plans.registry import query
 from tickloom.plans.views import sql
 from tickloom.schemas import layout
 from tickloom.session import shared_dir
-from tickloom.sinks import export
+from tickloom.sinks import export, files
+from tickloom.sources import records
 from tickloom.sources import venues as vn
 
 
@@ -85,7 +86,7 @@ def dataset_conditions(spark, sf):
 @query("dataset_list", sql("ticks", f""", {STORED} SELECT DISTINCT dataset FROM stored
   WHERE ts_recv >= epoch_us(TIMESTAMP '2024-01-05') * 1000 AND ts_recv < epoch_us(TIMESTAMP '2024-01-06') * 1000"""))
 def dataset_list(spark, sf):
-    return catalog.datasets(stored(spark, sf), "2024-01-05", "2024-01-06")
+    return catalog.datasets(stored(spark, sf, True), "2024-01-05", "2024-01-06", **views.STORED_TIME)
 
 
 @query("schema_list", sql("ticks", f", {STORED} SELECT DISTINCT schema FROM stored WHERE dataset = 'SET2'"))
@@ -151,3 +152,67 @@ def export_and_verify(spark, sf):
     t = views.ticks(spark, sf).where("rtype = 0").select(*[c for c in layout("trades").columns if c != "depth"])
     export.export(filters.time_range(t, "2024-01-01"), path, layout("trades"), split_duration="week", map_symbols=False)
     return export.verify(spark, export.manifest_of(spark, path), path)
+
+
+def _fields_sql():
+    rows = [(lay.name, i, f.name, f.dataType.simpleString()) for lay in map(layout, ("trades", "mbp-1")) for i, f in enumerate(lay.struct.fields)]
+    return ", ".join(f"('{a}', {i}, '{b}', '{c}')" for a, i, b, c in rows)
+
+
+@query("field_list", sql("ticks", f"""SELECT f.schema, CAST(position AS INTEGER) AS position, name, type, n AS records FROM (VALUES {_fields_sql()}) f(schema, position, name, type)
+  JOIN (SELECT CASE rtype WHEN 0 THEN 'trades' WHEN 1 THEN 'mbp-1' END AS schema, CAST(count(*) AS BIGINT) AS n FROM ticks WHERE rtype IN (0, 1) GROUP BY 1) USING (schema)"""))
+def field_list(spark, sf):
+    """Fields of the schemas that the stored records have."""
+    held = views.ticks(spark, sf).groupBy(F.when(F.col("rtype") == 0, "trades").when(F.col("rtype") == 1, "mbp-1").alias("schema")).agg(
+        F.count(F.lit(1)).alias("records"))
+    return catalog.fields(spark, [layout("trades"), layout("mbp-1")]).join(held, "schema")
+
+
+CHUNKS = """chunks AS (SELECT sequence // 1000 AS chunk, string_agg(sequence || ',' || price || ',' || size || chr(10), '' ORDER BY sequence) AS body
+  FROM ticks GROUP BY 1)"""
+
+
+@query("verified_files", sql("ticks", f", {CHUNKS} SELECT chunk, CAST(strlen(body) AS BIGINT) AS size, sha256(body) AS digest, 'ok' AS status FROM chunks"))
+def verified_files(spark, sf):
+    """Files of a thousand records each against a manifest that is made from the records."""
+    path = shared_dir(spark, "chunks")
+    t = views.ticks(spark, sf).select(F.call_function("div", F.col("sequence"), F.lit(1000)).alias("chunk"), "sequence",
+                                      F.concat_ws(",", "sequence", "price", "size").alias("value"))
+    t.repartition("chunk").sortWithinPartitions("chunk", "sequence").drop("sequence").write.partitionBy("chunk").text(path)
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("sequence", "value"))), lambda r: F.concat(r["value"], F.lit("\n")))
+    body = t.groupBy("chunk").agg(F.array_join(lines, "").alias("body"))  # at most a thousand records
+    listed = export.manifest_of(spark, path).select("filename", F.regexp_extract("filename", r"chunk=(\d+)/", 1).cast("bigint").alias("chunk"))
+    manifest = body.join(listed, "chunk", "left").select(
+        F.coalesce("filename", F.concat(F.lit("chunk="), F.col("chunk").cast("string"))).alias("filename"), F.octet_length("body").cast("bigint").alias("size"),
+        F.concat(F.lit("sha256:"), F.sha2("body", 256)).alias("hash"), "chunk")
+    checked = export.verify(spark, manifest, path)
+    return checked.join(manifest.select("filename", "chunk", F.substring_index("hash", ":", -1).alias("digest")), "filename", "left").select(
+        "chunk", F.col("actual_size").alias("size"), "digest", "status")
+
+
+@query("file_cuts", sql("ticks", """, s AS (SELECT publisher_id, ts_recv, sequence, size AS n, (SELECT max(size) FROM ticks) AS longest FROM ticks)
+  SELECT sequence, publisher_id, CAST(coalesce(sum(n) OVER (PARTITION BY publisher_id ORDER BY ts_recv, sequence ROWS BETWEEN UNBOUNDED PRECEDING
+  AND 1 PRECEDING), 0) // (1000 - longest) AS BIGINT) AS file FROM s"""))
+def file_cuts(spark, sf):
+    """In which file of at most 1,000 bytes each record of a publisher lies, where its size is its bytes."""
+    t = views.ticks(spark, sf).select("publisher_id", "ts_recv", "sequence", "size")
+    return export.file_numbers(t, ["publisher_id"], ["ts_recv", "sequence"], F.col("size"), 1_000).select("sequence", "publisher_id", "file")
+
+
+@query("written_again", sql("ticks", "SELECT ts_recv, sequence, price, size FROM ticks WHERE rtype = 0"))
+def written_again(spark, sf):
+    """Compressed text that overwrites an earlier file and is read back."""
+    path, lay = shared_dir(spark, "text"), layout("trades")
+    t = views.ticks(spark, sf)
+    for rtype in (1, 0):
+        files.write_csv(t.where(F.col("rtype") == rtype), path, lay, False, False, compression="gzip", mode="w")
+    return records.read_csv(spark, path, lay).select("ts_recv", "sequence", "price", "size")
+
+
+@query("stamped_table", sql("ticks", """SELECT sequence, ts_recv // 1000 AS recv_us, (ts_recv + 1500) // 1000 AS out_us
+  FROM ticks WHERE rtype = 0"""))
+def stamped_table(spark, sf):
+    """Records that carry the time at which they were sent on."""
+    t = views.ticks(spark, sf).where("rtype = 0").select("ts_recv", "sequence", (F.col("ts_recv") + 1500).alias("ts_out"))
+    shown = formatting.table(t)
+    return shown.select("sequence", F.unix_micros("ts_recv").alias("recv_us"), F.unix_micros("ts_out").alias("out_us"))

@@ -149,3 +149,35 @@ def stream_fan_out(spark, sf):
     sinks.fan_out_once(s, {"all": all_, "quotes": part(quotes, 1), "trades": part(trades, 0)}, mark).awaitTermination()
     read = lambda name, path: spark.read.schema(s.schema).parquet(path).select(F.lit(name).alias("sink"), "sequence")
     return read("all", all_).unionByName(read("quotes", quotes)).unionByName(read("trades", trades))
+
+
+@query("stream_restarted", sql("ticks", "SELECT sequence, size FROM ticks"))
+def stream_restarted(spark, sf):
+    """A query that ends in the middle of its feed and goes on from its checkpoint."""
+    feed, mark, out = (shared_dir(spark, x) for x in ("feed", "mark", "restarted"))
+    t = views.ticks(spark, sf).select("sequence", "size")
+    for half in range(2):
+        t.where(F.pmod("sequence", F.lit(2)) == half).write.mode("append").parquet(feed)
+        sinks.to_folder(sources.open_stream(spark, feed, t.schema), out, mark).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("stream_callback", sql("ticks", "SELECT instrument_id, CAST(count(*) AS BIGINT) AS records, max(ts_recv) AS last_ts FROM ticks GROUP BY 1"))
+def stream_callback(spark, sf):
+    """A user's function of each batch, after one that fails and is reported."""
+    out, errors = shared_dir(spark, "called"), []
+    s = tick_stream(spark, sf).select("instrument_id", "ts_recv")
+
+    def fail(batch, number):
+        raise ValueError("a user's own error")
+
+    def work(batch, number):
+        sums = batch.groupBy("instrument_id").agg(F.count(F.lit(1)).alias("records"), F.max("ts_recv").alias("last_ts"))
+        sums.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    sinks.to_callback(s, fail, errors.append).awaitTermination()
+    sinks.to_callback(s, work, errors.append).awaitTermination()
+    if [type(e) for e in errors] != [ValueError]:
+        raise RuntimeError(f"errors of callbacks: {errors}")
+    sums = spark.read.schema("instrument_id bigint, records bigint, last_ts bigint").parquet(out)
+    return sums.groupBy("instrument_id").agg(F.sum("records").alias("records"), F.max("last_ts").alias("last_ts"))

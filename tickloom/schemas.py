@@ -87,12 +87,13 @@ def register(layout: Layout) -> Layout:
 register(Layout("mbo", struct(_MBO), ("price",), ("ts_recv", "ts_event"),
                 ("action", "side"), 0, 160))
 register(_book("mbp-1", 1, 1))
-register(_book("mbp-10", 10))
-register(_book("tbbo", 1))
-register(_book("trades", 0))
-for _width in ("1s", "1m", "1h", "1d", "eod"):
+register(_book("mbp-10", 10, 10))
+register(_book("tbbo", 1, 1))
+register(_book("trades", 0, 0))
+# Record types of bars.
+for _width, _rtype in {"1s": 32, "1m": 33, "1h": 34, "1d": 35, "eod": 36}.items():
     register(Layout(f"ohlcv-{_width}", struct(_BAR), ("open", "high", "low", "close"),
-                    ("ts_event",)))
+                    ("ts_event",), rtype=_rtype))
 
 
 def layout(name: str) -> Layout:
