@@ -154,7 +154,7 @@ def test_mixed_run(spark):
     assert records.of_type(df, layout("trades"), 0).columns == layout("trades").columns
     assert records.of_type(df, layout("ohlcv-1h"), 34).count() == 0
     with pytest.raises(ValueError, match="record type"):
-        records.of_type(df, layout("trades"))
+        records.of_type(df, Layout("own", layout("trades").struct))
     empty = records.as_schema(df, "mbo", layout("ohlcv-1d"))
     assert empty.count() == 0 and empty.columns == layout("ohlcv-1d").columns
 

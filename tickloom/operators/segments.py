@@ -70,9 +70,9 @@ def segmented(df: DataFrame, keys: Sequence[str], order: str, rows_per_segment:
     number = F.col(order).cast("bigint")
     if not keys:
         row = cut_points(df, keys, order, rows_per_segment).first()
-        if row is None:
-            return df.withColumn(SEGMENT, F.lit(0).cast("bigint"))
-        cuts = F.array(*[F.array(*[F.lit(int(c)) for c in run]) for run in row["_cuts"]])
+        # few rows: one cut behind all of them (a constant segment would make joins on it products)
+        runs = [[(1 << 63) - 1]] if row is None else row["_cuts"]
+        cuts = F.array(*[F.array(*[F.lit(int(c)) for c in run]) for run in runs])
         return df.withColumn(SEGMENT, place(cuts, number))
     cuts = cut_points(df, keys, order, rows_per_segment)
     cuts = cuts.select(*[F.col(k).alias(f"_cut_{i}") for i, k in enumerate(keys)], "_cuts")
