@@ -1,5 +1,6 @@
 """Networks, fields, indexes, graphs, labelers and shards."""
 
+import itertools
 import re
 from collections import Counter, defaultdict
 
@@ -294,6 +295,46 @@ def test_shards_are_even_and_keep_groups(table, texts, copies):
         assert sum(1 for t in split if split[t] > 1) <= 0.6 * copies  # no room at all to move in
 
 
+def fewest_cuts(sizes, shards, total):
+    """The fewest groups cut by any layout of groups of these sizes, tried one after another."""
+    room = [total // shards + (t < total % shards) for t in range(shards)]
+    for cut in range(len(sizes) + 1):
+        for split in itertools.combinations(range(len(sizes)), cut):
+            loads = {tuple(room)}
+            for i, n in enumerate(sizes):
+                if i not in split:
+                    loads = {tuple(sorted(x - n * (j == k) for j, x in enumerate(load))) for load in loads for k in range(shards) if load[k] >= n}
+            if loads:  # what is cut fills the rest row by row
+                return cut
+    return len(sizes)
+
+
+@pytest.mark.parametrize("groups,alone", [([5] * 400, 100), ([8] * 200, 40)])
+def test_no_group_is_cut_where_all_fit(table, groups, alone):
+    texts = [f"g{i}" for i, n in enumerate(groups) for _ in range(n)] + [f"alone {i}" for i in range(alone)]
+    got = label_shards.shard_rows(table(rows_of(texts), DOCS)).collect()
+    counts = Counter(r["shard"] for r in got)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    assert sum(1 for x in by_text(got, texts).values() if len(x) > 1) == 0
+
+
+@pytest.mark.parametrize("sizes,alone", [([3, 3, 2, 2, 2], 4), ([6, 5, 4, 3], 6), ([4, 4, 4], 0), ([2] * 6, 3), ([7, 2, 2], 5)])
+def test_small_cases_are_cut_as_little_as_can_be(table, sizes, alone):
+    texts = [f"g{i}" for i, n in enumerate(sizes) for _ in range(n)] + [f"alone {i}" for i in range(alone)]
+    got = label_shards.shard_rows(table(rows_of(texts), DOCS), shards=3).collect()
+    counts = Counter(r["shard"] for r in got)
+    assert max(counts.values()) - min(counts.get(t, 0) for t in range(3)) <= 1
+    cut = sum(1 for x in by_text(got, texts).values() if len(x) > 1)
+    assert cut == fewest_cuts(sizes, 3, len(texts))
+
+
+def by_text(rows, texts):
+    held = defaultdict(set)
+    for r in rows:
+        held[texts[r["doc_id"]]].add(r["shard"])
+    return held
+
+
 def test_shards_of_odd_rows(table):
     rows = [(None, None), (1, ""), (1, ""), (2, "é"), (None, "é")]
     got = label_shards.shard_rows(table(rows, "doc_id long, text string")).collect()

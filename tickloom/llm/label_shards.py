@@ -6,13 +6,14 @@ in one shard ask to move to the shard that holds most of the group. Pairs of sha
 exchange what asks to go both ways, and a shard with room takes more, the largest groups
 first; how much passes between two shards is an 8 by 8 table on the driver, and prefix
 sums over the requests decide which pass. A move only ever goes to a shard with more
-of the group, so every one lowers the number of cut links. Documents without links fill
-the shards up to even counts at the end.
+of the group, so every one lowers the number of cut links. Where such moves end, the
+groups that are still cut get new labels together and the rounds go on. Documents without
+links fill the shards up to even counts at the end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import running_start, stored
@@ -57,17 +58,17 @@ def _passes(asked: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[in
     return allowed
 
 
-def propagate(groups: DataFrame, shards: int, capacity: int) -> tuple[DataFrame, list[int]]:
-    """Stored (cls, shard, n) for ``groups`` (cls, n, range), and the rows in each shard.
+def _held(state: DataFrame, shards: int) -> list[int]:
+    held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+    return [held.get(t, 0) for t in range(shards)]
 
-    Rounds go on until two in a row move nothing. Every move lowers the number of cut
-    links, so they come to an end.
-    """
-    state = stored(_spread(groups, shards), "shards")
+
+def _rounds(state: DataFrame, shards: int, capacity: int) -> DataFrame:
+    """Rounds of moves until two in a row move nothing. Every move lowers the number of
+    cut links, so they come to an end."""
     idle = turn = 0
     while idle < 2:
-        held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-        room = [max(0, capacity - held.get(t, 0)) for t in range(shards)]
+        room = [max(0, capacity - n) for n in _held(state, shards)]
         open_ = [t for t in range(shards) if room[t]]
         # in turn to any shard, by exchange, and to the ones with room
         asking = stored(_requests(state, list(range(shards)) if turn % 2 == 0 else open_), "requests") if open_ or turn % 2 == 0 else None
@@ -85,8 +86,72 @@ def propagate(groups: DataFrame, shards: int, capacity: int) -> tuple[DataFrame,
         changes = moved.select("cls", F.explode(F.array(
             F.struct(F.col("s").alias("shard"), (-F.col("m")).alias("n")), F.struct(F.col("t").alias("shard"), F.col("m").alias("n")))).alias("c"))
         state = stored(state.unionByName(changes.select("cls", "c.*")).groupBy("cls", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "shards")
-    held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-    return state, [held.get(t, 0) for t in range(shards)]
+    return state
+
+
+def _chosen(value: Column, bounds: list) -> Column:
+    """The first of ``bounds`` above ``value``, by its number; the last one for the rest."""
+    out = F.lit(len(bounds) - 1)
+    for t in reversed(range(len(bounds) - 1)):
+        out = F.when(value < bounds[t], t).otherwise(out)
+    return out
+
+
+def _laid_again(state: DataFrame, shards: int, capacity: int) -> DataFrame | None:
+    """``state`` with new labels for the groups that are cut though they fit a shard.
+
+    Where no single move and no equal exchange helps, these groups are taken up together
+    and laid along the room that the others leave, the largest first. Each gets the label
+    of the shard in which its middle falls; what a shard can't hold goes where room is left.
+    """
+    per = state.groupBy("cls").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))
+    size = (63 - F.floor(F.log2(F.col("n").cast("double")))).cast("long")
+    ranked = per.where((F.col("parts") > 1) & (F.col("n") <= capacity)).select(
+        "cls", "n", (size * RANGES + F.pmod(F.xxhash64("cls"), F.lit(RANGES))).alias("range"))
+    stuck = stored(ranked, "stuck")
+    rows = stuck.agg(F.sum("n")).first()[0]
+    if not rows:
+        return None
+    fixed = stored(state.join(stuck.select("cls"), "cls", "left_anti"), "fixed")
+    room = [max(0, capacity - n) for n in _held(fixed, shards)]
+    ends = [sum(room[:t + 1]) * rows / max(1, sum(room)) for t in range(shards)]
+    laid = running_start(stuck, [], "range", ["cls"], "n", "start").withColumn("shard", _chosen(F.col("start") + F.col("n") / 2, ends))
+    placed = running_start(stored(laid.drop("start"), "laid"), ["shard"], "range", ["cls"], "n", "start")
+    fits = F.greatest(F.least(F.col("n"), F.element_at(F.array(*[F.lit(n).cast("long") for n in room]), F.col("shard") + 1) - F.col("start")), F.lit(0))
+    placed = stored(placed.select("cls", "shard", "range", fits.alias("n"), (F.col("n") - fits).alias("over")), "laid")
+    kept = placed.where("n > 0").select("cls", "shard", "n")
+    left = [max(0, a - b) for a, b in zip(room, _held(kept, shards))]
+    over = placed.where("over > 0").select("cls", "range", F.col("over").alias("n"))
+    short = (over.agg(F.sum("n")).first()[0] or 0) - sum(left)
+    left = [n + (t < short) for t, n in enumerate(left)]  # the rows that are over when all shards are full
+    each = running_start(stored(over, "over"), [], "range", ["cls"], "n", "start")
+    parts = []
+    for t in range(shards):
+        part = F.least(F.col("start") + F.col("n"), F.lit(sum(left[:t + 1]))) - F.greatest(F.col("start"), F.lit(sum(left[:t])))
+        parts.append(F.struct(F.lit(t).alias("shard"), part.cast("long").alias("n")))
+    rest = each.select("cls", F.explode(F.array(*parts)).alias("p")).select("cls", "p.*").where("n > 0")
+    every = fixed.unionByName(kept).unionByName(rest).groupBy("cls", "shard").agg(F.sum("n").alias("n"))
+    return stored(every.select("cls", F.col("shard").cast("int"), "n"), "shards")
+
+
+def propagate(groups: DataFrame, shards: int, capacity: int) -> tuple[DataFrame, list[int]]:
+    """Stored (cls, shard, n) for ``groups`` (cls, n, range), and the rows in each shard.
+
+    Rounds of moves end where no move helps. Groups that are still cut then get new labels
+    all at once, and the rounds go on from there, as long as that cuts fewer links.
+    """
+    def whole(found: DataFrame) -> int:  # grows as fewer links are cut
+        return int(found.agg(F.sum(F.col("n").cast("decimal(38,0)") * F.col("n"))).first()[0] or 0)
+
+    state = _rounds(stored(_spread(groups, shards), "shards"), shards, capacity)
+    best = whole(state)
+    while (again := _laid_again(state, shards, capacity)) is not None:
+        again = _rounds(again, shards, capacity)
+        now = whole(again)
+        if now <= best:
+            break
+        state, best = again, now
+    return state, _held(state, shards)
 
 
 def shard_rows(docs: DataFrame, shards: int = 8) -> DataFrame:
