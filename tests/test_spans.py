@@ -36,12 +36,12 @@ def holding(spans, key, at):
 
 
 @pytest.mark.parametrize("unit", [1, 60 * S, 86_400 * S])
-@pytest.mark.parametrize("limit,rows", [(None, None), (-1, None), (-1, 7)])
-def test_spans_hold_their_moments(spark, unit, limit, rows):
+@pytest.mark.parametrize("limit,rows,few", [(None, None, 64), (None, None, 0), (-1, None, 64), (-1, 7, 0)])
+def test_spans_hold_their_moments(spark, unit, limit, rows, few):
     spans, moments = made(unit % 97, unit)
     df = spark.createDataFrame(moments, "k string, t bigint, id bigint").repartition(3)
     table = spark.createDataFrame(spans, "k string, _from bigint, _to bigint, v string")
-    out = sp.span_join(df, table, ["k"], "t", broadcast_bytes=limit, rows_per_segment=rows)
+    out = sp.span_join(df, table, ["k"], "t", broadcast_bytes=limit, rows_per_segment=rows, few=few)
     assert out.columns == ["k", "t", "id", "v"]
     got = out.collect()
     assert len(got) == len(moments)

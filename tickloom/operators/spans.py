@@ -22,6 +22,8 @@ from tickloom.functions import times
 from tickloom.operators.asof import prevailing_quote
 from tickloom.operators.joins import BROADCAST_BYTES, measured_bytes, stored
 
+#: Spans of a key that a row may be held against one by one.
+FEW = 64
 #: Units that moments may be whole numbers of, in nanoseconds, widest first.
 UNITS = (times.DAY, times.HOUR, times.MINUTE, times.SECOND, times.MILLI, 1_000, 1)
 
@@ -61,14 +63,17 @@ def total(spans: DataFrame, keys: Sequence[str], values: Sequence[str], end: int
 
 
 def span_join(df: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, start: str = "_from", end: str = "_to",
-              values: Sequence[str] | None = None, broadcast_bytes: int | None = None, rows_per_segment: int | None = None) -> DataFrame:
+              values: Sequence[str] | None = None, broadcast_bytes: int | None = None, rows_per_segment: int | None = None,
+              few: int = FEW) -> DataFrame:
     """Every row of ``df`` with the ``values`` of the span of its key that holds ``at``.
 
     ``spans`` (keys, start, end, values) are disjoint inside a key; the start is part of a
     span, the end isn't, and an empty one means that the span is open there. Moments are
     dates, timestamps or nanoseconds. Rows without a span, key or moment get empty values,
-    and each row comes back once.
+    and each row comes back once. Where no key has more than ``few`` spans, trying them all
+    is cheaper than blocks, with the same rows.
     """
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     names = list(values) if values is not None else [c for c in spans.columns if c not in (*keys, start, end)]
     spans = stored(spans.select(*keys, moment(spans, start).alias("_start"), moment(spans, end).alias("_end"), *names), "spans")
     limits = [F.min("_start"), F.min("_end"), F.max("_start"), F.max("_end"), F.count(F.lit(1))]
@@ -81,12 +86,15 @@ def span_join(df: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, sta
     unit = next(u for u, n in zip(UNITS, row[5:]) if n == 0)
     low, high = min(bounds) - unit, max(bounds) + unit
     timed = df.withColumn("_at", moment(df, at))
+    most = spans.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    if most <= few and measured_bytes(spans) <= limit:
+        return _by_trying(timed, df.columns, spans, keys, names)
     cells = (high - low) // unit + 1
     in_cells = spans.select(
         *keys, _div(F.coalesce("_start", F.lit(low)) - low, unit).alias("_a"),
         F.when(F.col("_end").isNull(), F.lit(cells)).otherwise(_div(F.col("_end") - low, unit)).cast("bigint").alias("_b"), *names)
     blocks = stored(cover(total(in_cells.where("_a < _b"), keys, names, cells), keys, names, cells), "cover")
-    if measured_bytes(blocks) <= (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
+    if measured_bytes(blocks) <= limit:
         levels = sorted(r[0] for r in blocks.select("_level").distinct().collect())  # 64 at most
         # floor of a moment inside the bounds
         cell = _div(F.greatest(F.least(F.col("_at"), F.lit(high)), F.lit(low)) - low, unit)
@@ -127,6 +135,17 @@ def _by_blocks(rows: DataFrame, columns: Sequence[str], blocks: DataFrame, keys:
     return kept.select(*columns, *[F.col(f"_r_{n}").alias(n) for n in names])
 
 
+def _by_trying(rows: DataFrame, columns: Sequence[str], spans: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Few spans of a key, each of them held against the row."""
+    right = spans.select(*[F.col(c).alias(f"_r_{c}") for c in spans.columns])
+    on = (F.col("_r__start").isNull() | (F.col("_at") >= F.col("_r__start"))) & (F.col("_r__end").isNull() | (F.col("_at") < F.col("_r__end")))
+    on = on & F.col("_at").isNotNull()
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_r_{k}"))
+    met = rows.join(F.broadcast(right), on, "left")  # measured above
+    return met.select(*columns, *[F.col(f"_r_{n}").alias(n) for n in names])
+
+
 def _left_equal(df: DataFrame, spans: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     right = spans.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[F.col(n).alias(f"_v_{n}") for n in names])
     on = None
