@@ -76,15 +76,20 @@ def master_intervals(master: DataFrame, key: str, columns: Sequence[str],
     one = master.where(F.col(effective).isNotNull() & F.col(recorded).isNotNull()).groupBy(
         key, F.greatest(effective, recorded).alias("_from")).agg(F.max(value).alias("v"))
     one = stored(one.withColumn("_at", moment(one, "_from")), "versions")
-    cut = sg.segmented(one, [key], "_at", rows_per_segment)
-    carry = sg.carry_in(
-        cut, [key], {"_best": F.max("v"), "_next": F.min("_from")},
-        {"_best": lambda c: F.max(c).over(sg.before([key])), "_next": lambda c: F.min(c).over(sg.after([key]))})
-    here = sg.inside([key], "_at")
-    local = cut.withColumn("_lead", F.lead("_from").over(here)).withColumn(
-        "v", F.max("v").over(here.rowsBetween(W.unboundedPreceding, 0)))
-    best = sg.join_carry(local, carry, [key]).select(
-        key, "_from", F.coalesce("_lead", "_next").alias("_to"), F.greatest("v", "_best").alias("v"))
+    if one.count() <= (rows_per_segment or sg.ROWS_PER_SEGMENT):  # no key can have a second segment
+        here = W.partitionBy(key).orderBy("_at")
+        best = one.select(key, "_from", F.lead("_from").over(here).alias("_to"),
+                          F.max("v").over(here.rowsBetween(W.unboundedPreceding, 0)).alias("v"))
+    else:
+        cut = sg.segmented(one, [key], "_at", rows_per_segment)
+        carry = sg.carry_in(
+            cut, [key], {"_best": F.max("v"), "_next": F.min("_from")},
+            {"_best": lambda c: F.max(c).over(sg.before([key])), "_next": lambda c: F.min(c).over(sg.after([key]))})
+        here = sg.inside([key], "_at")
+        local = cut.withColumn("_lead", F.lead("_from").over(here)).withColumn(
+            "v", F.max("v").over(here.rowsBetween(W.unboundedPreceding, 0)))
+        best = sg.join_carry(local, carry, [key]).select(
+            key, "_from", F.coalesce("_lead", "_next").alias("_to"), F.greatest("v", "_best").alias("v"))
     return best.select(key, "_from", "_to", *[F.col(f"v.{c}").alias(c) for c in columns])
 
 

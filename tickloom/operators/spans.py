@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import times
 from tickloom.operators.asof import prevailing_quote
-from tickloom.operators.joins import BROADCAST_BYTES, measured_bytes, stored
+from tickloom.operators.joins import BROADCAST_BYTES, measured_bytes, row_bytes, stored
 
 #: Spans of a key that a row may be held against one by one.
 FEW = 64
@@ -76,18 +76,21 @@ def span_join(df: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, sta
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     names = list(values) if values is not None else [c for c in spans.columns if c not in (*keys, start, end)]
     spans = stored(spans.select(*keys, moment(spans, start).alias("_start"), moment(spans, end).alias("_end"), *names), "spans")
-    limits = [F.min("_start"), F.min("_end"), F.max("_start"), F.max("_end"), F.count(F.lit(1))]
-    uneven = [F.count(F.when((F.pmod("_start", F.lit(u)) != 0) | (F.pmod("_end", F.lit(u)) != 0), 1)) for u in UNITS]
-    row = spans.agg(*[c.alias(f"_{i}") for i, c in enumerate([*limits, *uneven])]).first()
+    # one job: bounds, rows, rows off each unit, the most spans of a key and the size
+    folds = [(F.min("_start"), F.min), (F.min("_end"), F.min), (F.max("_start"), F.max), (F.max("_end"), F.max), (F.count(F.lit(1)), F.sum)]
+    folds += [(F.count(F.when((F.pmod("_start", F.lit(u)) != 0) | (F.pmod("_end", F.lit(u)) != 0), 1)), F.sum) for u in UNITS]
+    folds += [(F.count(F.lit(1)), F.max), (F.sum(row_bytes(spans).cast("bigint")), F.sum)]
+    per_key = spans.groupBy(*keys).agg(*[c.alias(f"_{i}") for i, (c, _) in enumerate(folds)])
+    row = per_key.agg(*[fold(f"_{i}") for i, (_, fold) in enumerate(folds)]).first()
     bounds = [b for b in row[:4] if b is not None]
     if not row[4] or not bounds:
         # no span at all, or one without bounds for each key
         return _left_equal(df, spans.select(*keys, *names), keys, names)
-    unit = next(u for u, n in zip(UNITS, row[5:]) if n == 0)
+    unit = next(u for u, n in zip(UNITS, row[5:-2]) if n == 0)
     low, high = min(bounds) - unit, max(bounds) + unit
     timed = df.withColumn("_at", moment(df, at))
-    most = spans.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    if most <= few and measured_bytes(spans) <= limit:
+    most, size = row[-2:]
+    if most <= few and size <= limit:
         return _by_trying(timed, df.columns, spans, keys, names)
     cells = (high - low) // unit + 1
     in_cells = spans.select(
