@@ -1,6 +1,7 @@
 """Networks, fields, indexes, graphs, labelers and shards."""
 
 import itertools
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -90,6 +91,29 @@ def test_toxicity_held_out(spark):
     assert n[1, 1] > 0.8 * (n[1, 1] + n.get((1, 0), 0)) and n.get((0, 1), 0) < 0.03 * n[0, 0]
 
 
+def test_surprise_bounds_the_binomial_tail():
+    for share in (0.05, 0.13, 0.5, 0.8):
+        for n in (1, 6, 17, 40):
+            for k in range(n + 1):
+                tail = sum(math.comb(n, i) * share**i * (1 - share) ** (n - i) for i in range(k, n + 1))
+                assert tail <= math.exp(-toxic_crf.surprise(k, n, share)) + 1e-12
+            assert np.isclose(toxic_crf.surprise(n, n, share), -n * math.log(share))
+
+
+def test_rare_languages_keep_their_words():
+    """Twenty toxic texts of one language among a thousand of another; one clean text holds the stem alone."""
+    def text(i, *words):
+        return f"a{i} b{i} {' '.join(words)} c{i} d{i}".encode().split()
+
+    toxic = [text(i, "scum") for i in range(1000)] + [text(i, f"bomente{'xyzw'[i % 4]}") for i in range(1000, 1020)]
+    clean = [text(i, "fine") for i in range(2000, 2990)] + [text(i, "bomente") for i in range(3000, 3010)]
+    # as often toxic as clean, and as rare as chance makes it
+    even = [text(i, "even") for i in range(4000, 4040)]
+    odds = toxic_crf.lexicon_of([(t, 1) for t in toxic + even[:20]] + [(t, 0) for t in clean + even[20:]])
+    assert {"=scum", "bomente~"} <= set(odds)
+    assert not {"=fine", "=even", "=bomente", "=bomentex"} & set(odds)
+
+
 def test_training_rows_are_bounded(table, monkeypatch):
     """Many rows of one id: at most the bound of texts is learned from."""
     seen = []

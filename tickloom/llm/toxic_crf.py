@@ -31,10 +31,14 @@ from tickloom.llm.common import blocks
 LABEL_DOCUMENTS, DOCUMENT_CHARS = 2000, 20_000
 #: Places of one training text that the field learns from, at most.
 TEXT_PLACES = 4
-#: A feature belongs to the lexicon from this log odds on, seen in so many toxic texts and
-#: in this share of them, each time between other words: copies count once.
-LEAST_ODDS, LEAST_TEXTS, LEAST_SHARE = 3.0, 6, 0.008
-BEGINNINGS = (4, 5, 6)
+#: A feature belongs to the lexicon from this log odds on, seen in so many toxic texts, each
+#: time between other words: copies count once. Chance would give so uneven a share of the
+#: feature's own texts with a probability of at most exp(-LEAST_SURPRISE), whatever the
+#: number of other texts, so a language with few toxic texts keeps its words.
+LEAST_ODDS, LEAST_TEXTS, LEAST_SURPRISE = 3.0, 6, 11.0
+#: Toxic texts from which on these bounds count in full.
+FEW_TEXTS = 40
+BEGINNINGS = (4, 5, 6, 7, 8)
 #: Tokens on either side of a scored one in training.
 CONTEXT = 12
 THRESHOLD = 0.7
@@ -103,11 +107,22 @@ def document_score(p: np.ndarray) -> float:
     return float(p.max())
 
 
+def surprise(toxic: int, n: int, share: float) -> float:
+    """Chernoff bound on ``-ln`` of the chance that ``toxic`` or more of ``n`` texts are toxic
+    where each is with probability ``share``."""
+    seen = toxic / n
+    if seen <= share:
+        return 0.0
+    rest = (1 - seen) * math.log((1 - seen) / (1 - share)) if toxic < n else 0.0
+    return n * (seen * math.log(seen / share) + rest)
+
+
 def lexicon_of(texts: list[tuple[list[bytes], int]]) -> dict[str, float]:
     """Log odds of the features that toxic texts use, by the contexts they stand in."""
     known: dict[bytes, list[str]] = {}
     total = [sum(1 for _, y in texts if y == k) for k in (0, 1)]
-    least = max(min(LEAST_TEXTS, 2 + total[1] // 10), math.ceil(LEAST_SHARE * total[1]))
+    least = min(LEAST_TEXTS, 2 + total[1] * (LEAST_TEXTS - 2) // FEW_TEXTS)
+    unlikely = LEAST_SURPRISE * min(1.0, total[1] / FEW_TEXTS)
     seen: Counter = Counter()
     for words, y in texts:
         distinct = set(words)
@@ -133,7 +148,7 @@ def lexicon_of(texts: list[tuple[list[bytes], int]]) -> dict[str, float]:
         common = forms[f].most_common(1)[0][1]
         if toxic >= least and (f.startswith("=") or 2 * common <= forms[f].total()):
             value = math.log((toxic + 0.1) / (total[1] + 0.2)) - math.log((clean + 0.1) / (total[0] + 0.2))
-            if value >= LEAST_ODDS:
+            if value >= LEAST_ODDS and surprise(toxic, toxic + clean, total[1] / sum(total)) >= unlikely:
                 odds[f] = value
     return odds
 
