@@ -57,6 +57,19 @@ def test_records_read_back(table, tmp_path):
     assert {r["doc_id"]: r["ids"] for r in found} == {i: texts[i][0].tolist() for i in (5, 13)}
 
 
+def test_records_are_read_without_a_copy(table, tmp_path, monkeypatch):
+    """What is read isn't written once more, and a file that lost its tail is an error."""
+    docs, folder = table(ROWS, DOCS), tmp_path / "records"
+    index = token_records.write_records(docs, tokenizer_path(), str(folder))
+    monkeypatch.setattr(token_records, "stored", None)
+    got = token_records.read_records(docs.sparkSession, str(folder), index)
+    assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and got.count() == len(ROWS)
+    last = index.orderBy(F.desc("part"), F.desc("offset")).first()
+    (folder / last["file"]).write_bytes((folder / last["file"]).read_bytes()[:last["offset"]])
+    with pytest.raises(Exception, match="differs from its index"):
+        token_records.read_records(docs.sparkSession, str(folder), index).collect()
+
+
 def test_damage_is_seen():
     data = bytearray(token_records.frame(token_records.payload_of(7, np.array([1, 2, 3], "<u2"))))
     assert [token_records.parse(p)[0] for p in token_records.records(__import__("io").BytesIO(data))] == [7]

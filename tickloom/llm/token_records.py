@@ -32,7 +32,7 @@ from tickloom.llm.words import encoder_for
 #: Fixed value of the mask, as in other record files of this kind.
 MASK_DELTA = 0xA282EAD8
 INDEX = "part int, file string, doc_id long, offset long, length long, n_tokens long"
-READ = "part int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
+READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def masked(data: bytes) -> int:
@@ -107,29 +107,31 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1)
 
 def read_records(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
     """Reads all files of ``index`` from front to back: doc_id, start (ids of all
-    documents before it), n_tokens, ids_crc32 (of the ids as unsigned 32-bit numbers)."""
+    documents before it), n_tokens, ids_crc32 (of the ids as unsigned 32-bit numbers).
+
+    Where a file starts is known from the index, so what is read goes straight on to the
+    caller. A file that holds other numbers of records or ids than its index is an error.
+    """
 
     def scan(batches):
         store, root = open_store(folder)
         for batch in batches:
-            for part, name in zip(batch.column("part").to_pylist(), batch.column("file").to_pylist()):
-                rows, start = [], 0
+            for name, base, n, tokens in zip(*(batch.column(c).to_pylist() for c in ("file", "base", "n", "tokens"))):
+                rows, start = [], base
                 with store.open_input_stream(f"{root}/{name}") as stream:
                     for payload in records(stream):
                         doc_id, ids = parse(payload)
-                        rows.append((part, doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                        rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                         start += len(ids)
+                if (len(rows), start - base) != (n, tokens):
+                    raise ValueError(f"{name} differs from its index")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), *[pa.int64()] * 4))],
-                    ["part", "doc_id", "local_start", "n_tokens", "ids_crc32"])
-
-    files = index.groupBy("part", "file").agg(F.count(F.lit(1)).alias("n")).select("part", "file")
-    found = stored(files.repartition(buckets_for(spark)).mapInArrow(scan, READ), "record-scan")
-    sums = found.groupBy("part").agg(F.sum("n_tokens").alias("_sum"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    base = sums.select("part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    return found.join(base, "part").select(
-        "doc_id", (F.col("_base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+                    [pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    files = index.groupBy("part", "file").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("tokens"))
+    before = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    placed = files.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0).cast("long"))).select("file", "base", "n", "tokens")
+    return placed.repartition(buckets_for(spark)).mapInArrow(scan, READ)
 
 
 def read_at(folder: str, index: DataFrame) -> DataFrame:
