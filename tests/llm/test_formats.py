@@ -81,6 +81,26 @@ def test_examples_hold_all_turns_and_only_replies_are_trained(table):
     assert len({r["segment"] for r in found[50]}) > 5
 
 
+def test_whole_prefixes_of_long_conversations(table):
+    """Nothing is cut off: the pieces of every example hold all turns before it."""
+    rows = [(k, i, "assistant" if i % 2 else "user", f"{k}:{i} " + "x" * size, None, None, None)
+            for k, n, size in ((1, 150, 10), (None, 90, 10), (2, 6, 70_000), (3, 4, 1)) for i in range(n)]
+    made = stored(prefix_targets.expand(table(rows, CHAT)), "examples")
+    pieces = defaultdict(list)
+    for r in prefix_targets.whole_prefixes(made).collect():
+        pieces[r["conv_id"], r["place"]].append(r)
+    held = turns_in_order(rows)
+    examples = {(r["conv_id"], r["place"]): r for r in made.collect()}
+    assert set(pieces) == set(examples) and any(r["segment"] > 2 for r in examples.values())
+    for (conv, place), parts in pieces.items():
+        parts.sort(key=lambda r: r["piece"])
+        want = [(role, text) for _, role, text in held[conv][:place + 1]]
+        assert prefix_targets.turns_of("".join(r["text"] for r in parts)) == want
+        assert (parts[-1]["loss_start"], parts[-1]["loss_end"]) == (examples[conv, place]["loss_start"], examples[conv, place]["loss_end"])
+    one = prefix_targets.whole_prefixes(made, made.where("conv_id = 1 and place = 149"))
+    assert {r["place"] for r in one.collect()} == {149} and one.count() > 3
+
+
 def test_digest_of_conversations(table):
     rows = [r for r in chats() if r[0] not in (50, None)]
     got = {r["conv_id"]: r for r in prefix_targets.format_and_digest(table(rows, CHAT)).collect()}
