@@ -98,6 +98,22 @@ def test_a_message_changes_later_rows_only(spark, tmp_path, salts):
     assert found[7]["ts_event"] == big and found[1]["note"] == "{\"a\": 1}" and spark.read.parquet(out).count() == 10
 
 
+def test_keys_share_buckets(spark, tmp_path):
+    """Many keys: a batch has no more groups than buckets and salts, and each key its own symbol."""
+    src, told, out, mark = (str(tmp_path / x) for x in ("src", "told", "out", "mark"))
+    message = "instrument_id bigint, ts_event bigint, sequence bigint, stype_out_symbol string"
+    for part in range(2):
+        append(spark, src, [row(k, part * 100 + t, part * 1000 + k) for k in range(300) for t in (10, 30)] + [row(None, 30, -1)])
+        append(spark, told, [(k, part * 100 + 20, 0, f"{k}.{part}") for k in range(0, 300, 1 + part)], message)
+        mapped = state.map_live(feed(spark, src), feed(spark, told, message), salts=2, buckets=3)
+        query = sinks.to_folder(mapped, out, mark)
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3 * 2
+    got = {(r["instrument_id"], r["ts_event"]): r["symbol"] for r in spark.read.parquet(out).collect()}
+    assert got == {(None, 30): None} | {(k, 10): None for k in range(300)} | {(k, t): f"{k}.0" for k in range(300) for t in (30, 110)} | {
+        (k, 130): f"{k}.{1 - k % 2}" for k in range(300)}
+
+
 def test_late_rows_are_told_and_kept(spark, tmp_path):
     src, out, mark = (str(tmp_path / x) for x in ("src", "out", "mark"))
     parts = [[100, 200], [150, 195, 300, None], [239, 240, 299, 10, 400]]

@@ -109,7 +109,8 @@ def stream_timeouts(spark, sf):
 def stream_live_map(spark, sf):
     """Records and mapping messages of one feed, each record with the symbol it had when it came."""
     messages = messages_of(tick_stream(spark, sf))
-    out = state.map_live(tick_stream(spark, sf).where("rtype <> 22"), messages)
+    records = tick_stream(spark, sf).where("rtype <> 22").select("ts_event", "sequence", "instrument_id")
+    out = state.map_live(records, messages)
     return sinks.drain(spark, out.select("sequence", "instrument_id", "symbol"))
 
 

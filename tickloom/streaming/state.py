@@ -19,6 +19,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tickloom.functions import times
 
 SALTS = 16
+#: Groups that the keys of a live map are dealt to, for each salt.
+BUCKETS = 256
 #: An empty time: a column of numbers with gaps would turn into floats on its way.
 _NONE = -(1 << 63)
 _TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "true"}
@@ -82,7 +84,8 @@ def timeouts(stream: DataFrame, keys: Sequence[str], limit: float = 40.0, ts: st
 
 
 def map_live(records: DataFrame, messages: DataFrame, ts: str = "ts_event", sequence: str = "sequence",
-             key: str = "instrument_id", symbol: str = "stype_out_symbol", salts: int = SALTS) -> DataFrame:
+             key: str = "instrument_id", symbol: str = "stype_out_symbol", salts: int = SALTS,
+             buckets: int = BUCKETS) -> DataFrame:
     """``records`` with ``symbol``, the out-symbol of the last mapping message that came
     before each record on a running stream.
 
@@ -90,30 +93,45 @@ def map_live(records: DataFrame, messages: DataFrame, ts: str = "ts_event", sequ
     both are taken in the order of ``ts`` and ``sequence``, messages first on equal ones; a
     message changes what comes after it and nothing before, in whatever batch it arrives.
     Records before the first message, and those without a key, have no symbol and are not
-    held back. Each salt of a key keeps its own copy of the symbol, so messages, which are
-    few, go to every salt and records to one.
+    held back. Keys share ``buckets``, so a batch calls Python once for each bucket and salt
+    however many keys it has. Each salt of a key keeps its own copy of the symbol, so
+    messages, which are few, go to every salt and records to one. All columns of
+    ``records`` pass through the state, so callers select those they need.
     """
-    order = [F.col(key).cast("bigint").alias("_key"), F.coalesce(F.col(ts).cast("bigint"), F.lit(0)).alias("_ts"),
-             F.coalesce(F.col(sequence).cast("bigint"), F.lit(0)).alias("_seq")]
+    number = F.col(key).cast("bigint")
+    order = [F.pmod(F.xxhash64(number), F.lit(buckets)).cast("int").alias("_bucket"), F.coalesce(number, F.lit(0)).alias("_key"),
+             F.coalesce(F.col(ts).cast("bigint"), F.lit(0)).alias("_ts"), F.coalesce(F.col(sequence).cast("bigint"), F.lit(0)).alias("_seq")]
     spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    told = messages.where(F.col(key).isNotNull()).select(*order, F.lit(0).alias("_kind"), F.col(symbol).cast("string").alias("_row"), spread)
-    packed = records.select(*order, F.lit(1).alias("_kind"), _packed(records))
+    told = messages.where(number.isNotNull()).select(*order, F.lit(0).alias("_kind"), F.col(symbol).cast("string").alias("_row"), spread)
+    # a record without a key is of kind 2
+    packed = records.select(*order, F.when(number.isNull(), 2).otherwise(1).alias("_kind"), _packed(records))
     packed = packed.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int"))
     both = told.unionByName(packed)
 
     def follow(_key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # the rows of one batch, key and salt
-        rows = pd.concat(list(frames), ignore_index=True).sort_values(["_ts", "_seq", "_kind"], kind="stable")
-        is_message = (rows["_kind"] == 0).to_numpy()
-        held = state.getOption
-        names = [held[0] if held else None, *rows["_row"][is_message]]
-        state.update((names[-1],))
-        at = np.cumsum(is_message)[~is_message]
-        if len(at):
-            yield pd.DataFrame({"_row": rows["_row"][~is_message].to_numpy(), "symbol": pd.array([names[i] for i in at], "object")})
-
-    mapped = both.groupBy("_key", "_salt").applyInPandasWithState(
-        follow, "_row string, symbol string", "symbol string", "append", GroupStateTimeout.NoTimeout)
+        # the rows of one batch, bucket and salt
+        rows = pd.concat(list(frames), ignore_index=True).sort_values(["_key", "_ts", "_seq", "_kind"], kind="stable")
+        keys, kind, text = rows["_key"].to_numpy(), rows["_kind"].to_numpy(), rows["_row"].to_numpy(object)
+        held = dict(zip(*state.get)) if state.exists else {}
+        at, fresh = np.arange(len(keys)), np.append(True, keys[1:] != keys[:-1])
+        begin = np.maximum.accumulate(np.where(fresh, at, 0))
+        last = np.maximum.accumulate(np.where(kind == 0, at, -1))  # below ``begin`` where the key has had no message
+        ends = np.flatnonzero(np.append(fresh[1:], True))
+        told_now = ends[last[ends] >= begin[ends]]
+        asked = np.flatnonzero(kind != 0)
+        if len(asked):
+            here = last[asked] >= begin[asked]
+            names = np.empty(len(asked), object)
+            names[here] = text[last[asked][here]]
+            names[~here] = [held.get(k) for k in keys[asked[~here]].tolist()]
+            names[kind[asked] == 2] = None
+            yield pd.DataFrame({"_row": text[asked], "symbol": pd.array(names, "object")})
+        if len(told_now):
+            held.update(zip(keys[told_now].tolist(), text[last[told_now]].tolist()))
+            state.update((list(held), list(held.values())))
+
+    mapped = both.groupBy("_bucket", "_salt").applyInPandasWithState(
+        follow, "_row string, symbol string", "keys array<bigint>, symbols array<string>", "append", GroupStateTimeout.NoTimeout)
     return _opened(mapped, T.StructType([f for f in records.schema.fields if f.name != "symbol"]), "symbol")
 
 
