@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.operators import pointintime
 from tickloom.operators import spans as sp
 
 S = 10**9
@@ -93,3 +94,20 @@ def test_a_span_is_at_most_two_blocks_a_level(spark):
         cells = sorted(c for level, block in held[i] for c in range(block << level, (block + 1) << level))
         assert cells == list(range(a, b))
         assert max(sum(1 for x, _ in held[i] if x == level) for level, _ in held[i]) <= 2
+
+
+@pytest.mark.parametrize("limit", [0, 2_000, None])
+def test_factors_of_other_securities_are_left_out(spark, monkeypatch, limit):
+    """Beyond the broadcast limit no block is made, and only traded securities are folded."""
+    days = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 40).cast("int") * 9)
+    factors = spark.range(4_000).select((F.col("id") % 400).alias("security_id"), days.alias("ex_date"), F.lit(0.5).alias("factor"))
+    df = spark.range(60).select((F.col("id") % 6).alias("security_id"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("day"),
+                                F.lit(1.0).alias("price")).unionByName(spark.createDataFrame([(None, None, 1.0)], "security_id bigint, day date, price double"))
+    want = {(r["security_id"], r["day"]): r["adjustment"] for r in pointintime.back_adjust(df, factors, "day").collect()}
+    assert len(want) == 61 and len(set(want.values())) > 1
+    made, folded, fold, cover = [], [], pointintime.adjustment_spans, sp.cover
+    monkeypatch.setattr(sp, "cover", lambda *a: made.append(1) or cover(*a))
+    monkeypatch.setattr(pointintime, "adjustment_spans", lambda f, *a: folded.append(f.select("security_id").distinct().count()) or fold(f, *a))
+    out = pointintime.back_adjust(df, factors, "day", broadcast_bytes=limit)
+    assert {(r["security_id"], r["day"]): r["adjustment"] for r in out.collect()} == want
+    assert folded == [6 if limit == 2_000 else 400] and not made

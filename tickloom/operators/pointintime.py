@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.operators import segments as sg
-from tickloom.operators.joins import stored
+from tickloom.operators.joins import fits_broadcast, stored
 from tickloom.operators.spans import moment, span_join
 
 _LAST = "9999-12-31 00:00:00"
@@ -117,7 +117,13 @@ def adjustment_spans(factors: DataFrame, key: str = "security_id", ex_date: str
 def back_adjust(df: DataFrame, factors: DataFrame, date: Column | str, price: str = "price",
                 key: str = "security_id", **options) -> DataFrame:
     """Adds ``adjustment`` and ``adjusted_price``: the price times all factors whose
-    ex-date is after the trade date."""
+    ex-date is after the trade date. Of factors beyond the broadcast limit only those of
+    securities in ``df`` are folded, if these are few."""
+    limit = options.get("broadcast_bytes")
+    if not fits_broadcast(factors, limit):
+        held = stored(df.select(key).distinct(), "held")
+        if fits_broadcast(held, limit):
+            factors = factors.join(F.broadcast(held), key, "left_semi")
     spans = adjustment_spans(factors, key)
     left = df.withColumn("_day", F.col(date) if isinstance(date, str) else date)
     out = span_join(left, spans, [key], "_day", values=["adjustment"], **options)

@@ -92,16 +92,17 @@ def span_join(df: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, sta
     most, size = row[-2:]
     if most <= few and size <= limit:
         return _by_trying(timed, df.columns, spans, keys, names)
-    cells = (high - low) // unit + 1
-    in_cells = spans.select(
-        *keys, _div(F.coalesce("_start", F.lit(low)) - low, unit).alias("_a"),
-        F.when(F.col("_end").isNull(), F.lit(cells)).otherwise(_div(F.col("_end") - low, unit)).cast("bigint").alias("_b"), *names)
-    blocks = stored(cover(total(in_cells.where("_a < _b"), keys, names, cells), keys, names, cells), "cover")
-    if measured_bytes(blocks) <= limit:
-        levels = sorted(r[0] for r in blocks.select("_level").distinct().collect())  # 64 at most
-        # floor of a moment inside the bounds
-        cell = _div(F.greatest(F.least(F.col("_at"), F.lit(high)), F.lit(low)) - low, unit)
-        return _by_blocks(timed.withColumn("_cell", F.when(F.col("_at").isNotNull(), cell)), df.columns, blocks, keys, names, levels)
+    if size <= limit:  # a span is one block at least, so the blocks of larger ones aren't made
+        cells = (high - low) // unit + 1
+        in_cells = spans.select(
+            *keys, _div(F.coalesce("_start", F.lit(low)) - low, unit).alias("_a"),
+            F.when(F.col("_end").isNull(), F.lit(cells)).otherwise(_div(F.col("_end") - low, unit)).cast("bigint").alias("_b"), *names)
+        blocks = stored(cover(total(in_cells.where("_a < _b"), keys, names, cells), keys, names, cells), "cover")
+        if measured_bytes(blocks) <= limit:
+            levels = sorted(r[0] for r in blocks.select("_level").distinct().collect())  # 64 at most
+            # floor of a moment inside the bounds
+            cell = _div(F.greatest(F.least(F.col("_at"), F.lit(high)), F.lit(low)) - low, unit)
+            return _by_blocks(timed.withColumn("_cell", F.when(F.col("_at").isNotNull(), cell)), df.columns, blocks, keys, names, levels)
     begun = spans.select(*keys, F.coalesce("_start", F.lit(low)).alias("_at"), F.lit(0).alias("_order"), F.col("_end"), *names)
     rows = timed.select("*", F.lit(0).alias("_order")).withColumn("_at", F.greatest("_at", F.when(F.col("_at").isNotNull(), F.lit(low))))
     met = prevailing_quote(rows, begun, ["_end", *names], keys, "_at", "_order", rows_per_segment)
