@@ -235,3 +235,10 @@ def test_replay_by_key(case):
         for i, r in enumerate(part):
             want[r[2]] = r[1] - part[i - 1][1] if i else 0
     assert got == want
+
+
+def test_a_task_holds_few_rows_of_a_scan(spark):
+    """2.5 million rows without keys are more than two segments, none far above a million."""
+    df = spark.range(2_500_000).select((F.col("id") * 1_000).alias("ts_recv"))
+    sizes = [r["count"] for r in sg.segmented(df, (), "ts_recv").groupBy(sg.SEGMENT).count().collect()]
+    assert sum(sizes) == 2_500_000 and len(sizes) >= 3 and max(sizes) <= 1_500_000

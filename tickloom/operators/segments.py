@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import times
 
-ROWS_PER_SEGMENT = 5_000_000
+ROWS_PER_SEGMENT = 1_000_000
 SEGMENT = "_seg"
 #: Sampled rows for a segment, and cut points that are looked through one by one.
 SAMPLE, STEP = 64, 64
